@@ -1,0 +1,5 @@
+"""Intentionally empty: the workload is batch only.
+
+Late changes are absorbed by re-running ``plans.sync.incremental_sync``, which
+re-reads the last days and upserts them.
+"""
