@@ -10,43 +10,41 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Characters stripped around a number, and the accepted spellings.
-BLANKS = (
-    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
-    "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+# Blanks allowed around a number, and the accepted spellings. Group 1 is the
+# part that is cast.
+BLANKS = r"[ \t\n\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*"
+INT_PATTERN = rf"^{BLANKS}([+-]?[0-9]+){BLANKS}\z"
+FLOAT_PATTERN = (
+    rf"^{BLANKS}([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?){BLANKS}\z"
 )
-INT_PATTERN = r"^[+-]?[0-9]+\z"
-FLOAT_PATTERN = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
-SPECIAL_PATTERN = r"^[+-]?(?:inf|infinity|nan)\z"
-DATE_PATTERN = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-(?:[0-9]{1,2}| [1-9])\z"
+SPECIAL_PATTERN = rf"(?i)^{BLANKS}([+-]?(?:inf|infinity|nan)){BLANKS}\z"
+DATE_PATTERN = r"^((?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2})\z"
+SPACED_DATE_PATTERN = r"^((?!0000)[0-9]{4}-[0-9]{1,2}- [1-9])\z"
 
 
-def _text(c: Column) -> Column:
-    return F.btrim(c.cast("string"), F.lit(BLANKS))
+def _matched(c: Column, pattern: str) -> Column:
+    """Group 1, or an empty text (which no cast below accepts)."""
+    return F.regexp_extract(c.cast("string"), pattern, 1)
 
 
 def parse_int(c: Column) -> Column:
-    text = _text(c)
-    return F.when(text.rlike(INT_PATTERN), text.try_cast("bigint"))
+    return _matched(c, INT_PATTERN).try_cast("bigint")
 
 
 def parse_float(c: Column) -> Column:
-    text = _text(c)
-    word = F.lower(text)
+    word = F.lower(_matched(c, SPECIAL_PATTERN))
     special = (
         F.when(word.endswith("nan"), F.lit(float("nan")))
         .when(word.startswith("-"), F.lit(float("-inf")))
-        .otherwise(F.lit(float("inf")))
-    )
-    return F.when(text.rlike(FLOAT_PATTERN), text.try_cast("double")).when(
-        word.rlike(SPECIAL_PATTERN), special
+        .when(word != "", F.lit(float("inf")))
     )
+    return F.coalesce(_matched(c, FLOAT_PATTERN).try_cast("double"), special)
 
 
 def parse_date(c: Column) -> Column:
-    text = c.cast("string")
-    return F.when(
-        text.rlike(DATE_PATTERN), F.replace(text, F.lit("- "), F.lit("-")).try_cast("date")
+    spaced = F.replace(_matched(c, SPACED_DATE_PATTERN), F.lit(" "), F.lit(""))
+    return F.coalesce(
+        _matched(c, DATE_PATTERN).try_cast("date"), spaced.try_cast("date")
     )
 
 

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-_ITEMS = "array<struct<action_type variant, value variant>>"
+_ITEMS = "array<struct<action_type string, value variant>>"
+_EXACT_ITEMS = "array<struct<action_type variant, value variant>>"
 # Non-list JSON texts that count as "nothing there".
 _EMPTY_TEXT = r'^(?:null|\{\}|""|false|-?0(?:\.0+)?(?:[eE][+-]?[0-9]+)?)\z'
-# Type names reported for JSON values.
+# Type names reported for JSON values, by the start of Spark's type name.
 _TYPE_NAMES = {
-    "STRING": "str",
-    "BIGINT": "int",
-    "DECIMAL": "float",
-    "DOUBLE": "float",
-    "BOOLEAN": "bool",
+    "STRI": "str",
+    "BIGI": "int",
+    "DECI": "float",
+    "DOUB": "float",
+    "FLOA": "float",
+    "BOOL": "bool",
     "VOID": "NoneType",
-    "ARRAY": "list",
-    "OBJECT": "dict",
+    "ARRA": "list",
+    "OBJE": "dict",
 }
 
 
@@ -30,12 +32,16 @@ def as_variant(c: Column, data_type: T.DataType) -> Column:
 
 
 def items_of(v: Column) -> Column:
-    """The list as ``array<struct<action_type variant, value variant>>`` in one pass.
+    """The list as ``array<struct<action_type string, value variant>>``; NULL for no list."""
+    return F.try_variant_get(v, "$", _ITEMS)
+
+
+def exact_items_of(v: Column) -> Column:
+    """The list with both members as VARIANT, which tells an absent key from a JSON null.
 
-    NULL: not a list. NULL element: not an object. NULL member: key absent (a JSON null
-    is a VARIANT null, not NULL).
+    NULL element: not an object. NULL member: key absent. (A JSON null is a VARIANT null.)
     """
-    return F.try_variant_get(v, "$", _ITEMS)
+    return F.try_variant_get(v, "$", _EXACT_ITEMS)
 
 
 def is_empty(v: Column) -> Column:
@@ -44,18 +50,21 @@ def is_empty(v: Column) -> Column:
 
 
 def lacks_keys(item: Column) -> Column:
-    """True for an element of ``items_of`` that is no object or misses a key."""
+    """True for an element that is no object or has a NULL member."""
     return item["action_type"].isNull() | item["value"].isNull()
 
 
 def is_fraction(v: Column) -> Column:
     """True for JSON numbers written with a fraction or exponent, or beyond 64 bits."""
-    shape = F.schema_of_variant(v)
-    return shape.startswith("DECIMAL") | shape.startswith("DOUBLE")
+    return F.schema_of_variant(v).rlike("^(DECIMAL|DOUBLE|FLOAT)")
+
+
+def type_prefix(v: Column) -> Column:
+    """The start of the value's type name; cheap to compute per value."""
+    return F.coalesce(F.left(F.schema_of_variant(v), F.lit(4)), F.lit("VOID"))
 
 
-def type_name(v: Column) -> Column:
-    """Short type name of a VARIANT value; SQL NULL is reported like a JSON null."""
-    shape = F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+def type_name(prefix: Column) -> Column:
+    """Short type name for a ``type_prefix``; SQL NULL is reported like a JSON null."""
     names = F.create_map(*(F.lit(x) for pair in _TYPE_NAMES.items() for x in pair))
-    return F.coalesce(F.try_element_at(names, shape), F.lit("NoneType"))
+    return F.element_at(names, prefix)

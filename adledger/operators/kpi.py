@@ -56,13 +56,17 @@ def origin_counts(mappings: DataFrame) -> DataFrame:
 
 
 def refresh(standard: DataFrame, custom: DataFrame | None, path: str, run_ts: datetime) -> dict:
-    """Replace the mapping table; without any mapping, nothing is written."""
+    """Replace the mapping table; without any mapping, nothing is written.
+
+    The counts come from the written table, so that the documents are read once.
+    """
     mappings = all_mappings(standard, custom, run_ts)
-    counts = origin_counts(mappings).first().asDict()
-    if counts["total"]:
-        columns = registry.schema_for("kpi_mapping").names
-        mappings.select(*columns).write.mode("overwrite").parquet(path)
-    return counts
+    if mappings.isEmpty():
+        return {"standard": 0, "custom": 0, "total": 0}
+    columns = registry.schema_for("kpi_mapping").names
+    mappings.select(*columns).write.mode("overwrite").parquet(path)
+    total, built_in = read_mappings(standard.sparkSession, path).count(), standard.count()
+    return {"standard": built_in, "custom": total - built_in, "total": total}
 
 
 def read_mappings(spark: SparkSession, path: str) -> DataFrame:

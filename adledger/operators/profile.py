@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from adledger.functions.variants import items_of, lacks_keys, type_name
+from adledger.functions.variants import exact_items_of, lacks_keys, type_name, type_prefix
 
 
 def field_types(raw: DataFrame, json: str = "record") -> DataFrame:
@@ -19,22 +19,24 @@ def field_types(raw: DataFrame, json: str = "record") -> DataFrame:
         F.explode(
             F.try_variant_get(F.try_parse_json(F.col(json)), "$", "map<string,variant>")
         ).alias("field", "value")
-    ).withColumn("items", items_of(F.col("value")))
+    ).withColumn("items", exact_items_of(F.col("value")))
     nested = F.coalesce(F.get("items", F.lit(0)).isNotNull(), F.lit(False))
 
-    def entry(field, kind, type_):
-        return F.struct(field.alias("field"), F.lit(kind).alias("kind"), type_.alias("type"))
+    def entry(kind, prefix):
+        return F.struct(F.lit(kind).alias("kind"), prefix.alias("prefix"))
 
     complete = F.filter("items", lambda x: ~lacks_keys(x))
-    inside = F.transform(
-        complete,
-        lambda x: entry(F.concat("field", F.lit("_values")), "values", type_name(x["value"])),
-    )
+    inside = F.transform(complete, lambda x: entry("values", type_prefix(x["value"])))
     entries = F.when(
-        nested,
-        F.concat(F.array(entry(F.col("field"), "nested", F.lit("list"))), F.array_distinct(inside)),
-    ).otherwise(F.array(entry(F.col("field"), "plain", type_name(F.col("value")))))
-    return values.select(F.inline(entries)).distinct()
+        nested, F.concat(F.array(entry("nested", F.lit("ARRA"))), F.array_distinct(inside))
+    ).otherwise(F.array(entry("plain", type_prefix(F.col("value")))))
+    found = values.select("field", F.inline(entries)).distinct()
+    field = F.when(F.col("kind") == "values", F.concat("field", F.lit("_values")))
+    return found.select(
+        F.coalesce(field, "field").alias("field"),
+        "kind",
+        type_name(F.col("prefix")).alias("type"),
+    )
 
 
 def types_per_field(found: DataFrame) -> DataFrame:

@@ -28,17 +28,27 @@ _MAX_LISTED_DAYS = 4000
 # -- table set-up ----------------------------------------------------------------
 
 
-def ensure_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, name: str | None = None
-) -> None:
-    """Create the table if it is absent; with a ``name``, also enter it in the catalog."""
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> None:
+    """Create the table if it is absent."""
     schema = schema or registry.schema_for("insights")
     by = [PARTITION] if PARTITION in schema.names else []
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*by).parquet(path)
-    if name is not None and not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
-        if by:
-            spark.catalog.recoverPartitions(name)
+
+
+def register_table(
+    spark: SparkSession, name: str, path: str, schema: T.StructType | None = None
+) -> None:
+    """Enter the table in the catalog under ``name``, or bring its list of days up to date."""
+    schema = schema or registry.schema_for("insights")
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+    by = f"PARTITIONED BY ({PARTITION})" if PARTITION in schema.names else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet {by} LOCATION '{path}'"
+    )
+    if by:
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

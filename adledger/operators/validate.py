@@ -19,6 +19,7 @@ from adledger import registry
 from adledger.functions.parsing import PARSERS, parse
 from adledger.functions.variants import (
     as_variant,
+    exact_items_of,
     is_empty,
     is_fraction,
     items_of,
@@ -65,15 +66,17 @@ def check(
         *(F.when(_unparsed(f), _issue(BAD_VALUE, f, value=F.col(f.name))) for f in parsed),
         *(F.when(F.col(f.name).isNull(), _issue(REQUIRED, f)) for f in required),
     ]
+    bad = _any(
+        [_unparsed(f) for f in parsed]
+        + [F.col(f.name).isNull() for f in required]
+        + [_malformed(f) for f in nested]
+    )
+    # A filter on the verdict must not be pushed below this projection: it would be
+    # evaluated there from the raw columns, parsing everything again. Optimizer rules leave
+    # an expression alone that is not deterministic, and this one is always true.
+    pinned = F.monotonically_increasing_id() >= 0
     out = out.withColumns(
-        {f"_typed_{f.name}": _typed_items(f) for f in nested}
-        | {
-            "_bad": _any(
-                [_unparsed(f) for f in parsed]
-                + [F.col(f.name).isNull() for f in required]
-                + [_malformed(f) for f in nested]
-            )
-        }
+        {f"_typed_{f.name}": _typed_items(f) for f in nested} | {"_bad": bad & pinned}
     )
     data = [c for c in rows.columns if c != order]
     failed = _any([_lost_values(f) for f in nested]) | _is_blank(data)
@@ -121,24 +124,33 @@ def _unparsed(f: registry.Field) -> Column:
 
 
 def _malformed(f: registry.Field) -> Column:
-    items = F.col(f"_items_{f.name}")
-    return F.when(items.isNotNull(), F.exists(items, lacks_keys)).otherwise(
-        ~is_empty(F.col(f"_variant_{f.name}"))
+    """True if the value is no list, or an element is no object or lacks a key.
+
+    An element without any NULL is fine. Otherwise the key may be absent or a JSON null,
+    and the value itself is asked again.
+    """
+    items, whole = F.col(f"_items_{f.name}"), F.col(f"_variant_{f.name}")
+    return (
+        F.when(items.isNull(), ~is_empty(whole))
+        .when(F.exists(items, lacks_keys), F.exists(exact_items_of(whole), lacks_keys))
+        .otherwise(F.lit(False))
     )
 
 
 def _nested_issues(f: registry.Field) -> Column:
-    items, whole = F.col(f"_items_{f.name}"), F.col(f"_variant_{f.name}")
+    whole = F.col(f"_variant_{f.name}")
     raw = F.try_variant_get(whole, "$", "array<variant>")
     per_item = F.transform(
-        items,
+        exact_items_of(whole),
         lambda item, i: F.when(
             item.isNull(), _issue(NOT_OBJECT, f, i, F.to_json(raw[i]))
         ).when(lacks_keys(item), _issue(MISSING_KEYS, f, i, F.to_json(raw[i]))),
     )
-    return F.when(items.isNotNull(), per_item).when(
-        ~is_empty(whole), F.array(_issue(NOT_LIST, f, value=F.to_json(whole)))
-    ).otherwise(F.array().cast(ISSUES))
+    return (
+        F.when(F.col(f"_items_{f.name}").isNotNull(), per_item)
+        .when(~is_empty(whole), F.array(_issue(NOT_LIST, f, value=F.to_json(whole))))
+        .otherwise(F.array().cast(ISSUES))
+    )
 
 
 def _item_value(f: registry.Field, value: Column) -> Column:
@@ -155,7 +167,7 @@ def _typed_items(f: registry.Field) -> Column:
     typed = F.transform(
         items,
         lambda item: F.struct(
-            item["action_type"].try_cast("string").alias("action_type"),
+            item["action_type"].alias("action_type"),
             _item_value(f, item["value"]).alias("value"),
         ),
     )
@@ -169,7 +181,9 @@ def _lost_values(f: registry.Field) -> Column:
     lost = F.zip_with(
         items, typed, lambda item, t: t["value"].isNull() & ~absent(item["value"])
     )
-    return F.coalesce(F.exists(lost, lambda x: x), F.lit(False))
+    return F.when(
+        F.exists(typed, lambda t: t["value"].isNull()), F.exists(lost, lambda x: x)
+    ).otherwise(F.lit(False))
 
 
 def _data_columns(checked: DataFrame) -> list[str]:
