@@ -53,7 +53,8 @@ def register_table(
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The table with its declared types (folder names would be retyped otherwise)."""
-    return spark.read.schema(schema or registry.schema_for("insights")).parquet(path)
+    schema = schema or registry.schema_for("insights")
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def clone_schema(spark: SparkSession, source: DataFrame, path: str) -> DataFrame:
@@ -163,10 +164,7 @@ def upsert(
         kept = old.filter(~_missing(keys)).join(new_keys, list(keys), "left_anti")
         # Kept apart so that they do not all meet in one join task.
         unmatched = old.filter(_missing(keys))
-        columns = schema.names
-        _overwrite_days(
-            kept.select(*columns).unionByName(unmatched).unionByName(incoming), path
-        )
+        _overwrite_days(kept.select(*schema.names).unionByName(unmatched).unionByName(incoming), path)
     undated = src.filter(F.col(PARTITION).isNull())
     if not undated.isEmpty():
         append_rows(undated, path)
@@ -236,12 +234,13 @@ def merge_into(
 
     ``insert=False`` only updates. Built-in Parquet tables do not support this.
     """
+    target = table.split(".")[-1]
     condition = reduce(
-        lambda a, b: a & b, (F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys)
+        lambda a, b: a & b, (F.col(f"{target}.{k}") == F.col(f"source.{k}") for k in keys)
     )
     values = {c: F.col(f"source.{c}") for c in src.columns}
     changes = {c: v for c, v in values.items() if c not in keys}
-    merge = src.alias("source").mergeInto(f"{table} AS target", condition)
+    merge = src.alias("source").mergeInto(table, condition)
     merge = merge.whenMatched().update(changes)
     if insert:
         merge = merge.whenNotMatched().insert(values)

@@ -44,7 +44,10 @@ def read_landing(
         keep = keep & F.col("account_id").isin(list(accounts))
     if since is not None and until is not None:
         in_range = day_between(F.col("date_start"), since, until)
-        keep = keep & (in_range | F.col(CORRUPT).isNotNull() if fmt == "json" else in_range)
+        # The first test reads the day alone, so it can prune day folders; a line that is
+        # not JSON has no day of its own.
+        undated = F.col("date_start").isNull()
+        keep = keep & (in_range | undated) & (in_range | _is_corrupt(rows))
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -55,11 +58,20 @@ def read_landing(
     return rows.filter(keep).withColumn(ORDER, place)
 
 
+def _is_corrupt(rows: DataFrame) -> Column:
+    """Is the row a line that is not JSON?
+
+    Spark refuses to read a JSON file for this column alone, as a plain count would. The
+    second test is never true; it has the scan read one more column.
+    """
+    if CORRUPT not in rows.columns:
+        return F.lit(False)
+    return F.col(CORRUPT).isNotNull() | F.coalesce(F.length("ad_id") < 0, F.lit(False))
+
+
 def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parsed rows, and the lines that are not JSON."""
-    if CORRUPT not in rows.columns:
-        return rows, rows.limit(0)
-    bad = F.col(CORRUPT).isNotNull()
+    bad = _is_corrupt(rows)
     return rows.filter(~bad).drop(CORRUPT), rows.filter(bad)
 
 
@@ -164,7 +176,7 @@ def account_status(rows: DataFrame, accounts: Sequence[str]) -> DataFrame:
     A bad account never stops the others: its corrupt lines are set aside (``corrupt``), and
     an account without any file counts as ``missing``.
     """
-    bad = F.col(CORRUPT).isNotNull() if CORRUPT in rows.columns else F.lit(False)
+    bad = _is_corrupt(rows)
     counts = {
         "n_rows": F.count_if(~bad),
         "n_without_ad": F.count_if(~bad & F.col("ad_id").isNull()),

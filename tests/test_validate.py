@@ -1,0 +1,180 @@
+import json
+
+import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
+
+from adledger import registry
+from adledger.operators import validate as V
+
+
+def verdicts(rows):
+    """Per row: True, or the sorted (code, field, idx) of its issues."""
+    out = V.check(rows).select("_seq", "_ok", "_issues").collect()
+    return {
+        r["_seq"]: True if r["_ok"] else sorted((i["code"], i["field"], i["idx"]) for i in r["_issues"])
+        for r in out
+    }
+
+
+FAILED = [("transformation_failed", None, None)]
+ITEM = {"action_type": "x", "value": "1"}
+CASES = [
+    ({"impressions": "10"}, True),
+    ({"impressions": " 8 "}, True),
+    ({"impressions": None, "ad_id": "1"}, True),
+    ({"impressions": "1.0"}, [("bad_value", "impressions", None)]),
+    ({"impressions": ""}, [("bad_value", "impressions", None)]),
+    ({"impressions": "true"}, [("bad_value", "impressions", None)]),
+    ({"spend": "nan"}, True),
+    ({"spend": "1e3"}, True),
+    ({"spend": "1d"}, [("bad_value", "spend", None)]),
+    (
+        {"impressions": "y", "spend": "x"},
+        [("bad_value", "impressions", None), ("bad_value", "spend", None)],
+    ),
+    ({"date_start": "2024-1-5"}, True),
+    ({"date_start": "2024-01"}, [("bad_value", "date_start", None)]),
+    ({"date_stop": "2024-02-30"}, [("bad_value", "date_stop", None)]),
+    ({"date_stop": "2024-01-05T00:00:00"}, [("bad_value", "date_stop", None)]),
+    *(({"ad_id": "1", "actions": v}, True) for v in ([], "", {}, 0, 0.0, False, None)),
+    *(({"actions": v}, [("not_list", "actions", None)]) for v in ("oops", {"a": 1}, 5, True)),
+    (
+        {"actions": ["s", {"value": "1"}, ITEM, None]},
+        [("missing_keys", "actions", 1), ("not_object", "actions", 0), ("not_object", "actions", 3)],
+    ),
+    ({"actions": [[ITEM]]}, [("not_object", "actions", 0)]),
+    ({"actions": [{"action_type": "x", "value": None}]}, True),
+    ({"actions": [{"action_type": None, "value": "1"}]}, True),
+    *(
+        ({"actions": [ITEM, {"action_type": "x", "value": v}]}, FAILED)
+        for v in ("3.5", 3.0, True, "", {"a": 1}, [1], 1e3, 2**63)
+    ),
+    ({"actions": [{"action_type": "x", "value": 7}]}, True),
+    ({"actions": [{**ITEM, "1d_click": "4"}]}, True),
+    *(({"website_ctr": [{"action_type": "x", "value": v}]}, True) for v in ("1.5", 2, 3.0, "nan")),
+    ({"website_ctr": [{"action_type": "x", "value": True}]}, FAILED),
+    ({"website_ctr": [{"action_type": "x", "value": "1d"}]}, FAILED),
+    ({}, FAILED),
+    ({"unknown": "kept"}, True),
+    ({"impressions": "z", "actions": [{"action_type": "x", "value": "bad"}]}, [("bad_value", "impressions", None)]),
+    ({"ad_name": "any text", "account_id": "x"}, True),
+]
+
+
+def test_edge_rows(rows_of):
+    found = verdicts(rows_of([c for c, _ in CASES]))
+    wrong = {json.dumps(c): (found[i], want) for i, (c, want) in enumerate(CASES) if found[i] != want}
+    assert not wrong
+
+
+def test_every_nested_column_is_checked(rows_of):
+    names = [f.name for f in registry.fields("insights") if f.nested]
+    found = verdicts(rows_of([{n: "oops"} for n in names]))
+    assert [found[i] for i in range(len(names))] == [[("not_list", n, None)] for n in names]
+
+
+def test_cast_values(rows_of):
+    rows = rows_of(
+        [
+            {
+                "impressions": " 8 ",
+                "spend": "1e3",
+                "date_start": "2024-1-5",
+                "unknown": "kept",
+                "actions": [{"action_type": "a", "value": "3", "extra": 1}, {"action_type": None, "value": None}],
+                "unique_actions": [],
+                "website_ctr": [{"action_type": "w", "value": 2}],
+            }
+        ]
+    )
+    row = V.valid_rows(V.check(rows)).first()
+    assert (row.impressions, row.spend, str(row.date_start)) == (8, 1000.0, "2024-01-05")
+    assert row.unknown == "kept" and row.unique_actions is None
+    assert [tuple(a) for a in row.actions] == [("a", 3), (None, None)]
+    assert [tuple(a) for a in row.website_ctr] == [("w", 2.0)]
+
+
+def test_issue_values_show_the_offender(rows_of):
+    rows = rows_of([{"impressions": "n/a", "actions": ["lead", {"value": "1"}]}, {"actions": "oops"}])
+    got = {(r.code, r.idx): r.value for r in V.issue_rows(V.check(rows)).collect()}
+    assert got == {
+        ("bad_value", None): "n/a",
+        ("not_object", 0): '"lead"',
+        ("missing_keys", 1): '{"value":"1"}',
+        ("not_list", None): '"oops"',
+    }
+
+
+def test_valid_and_invalid_are_all_rows(rows_of):
+    checked = V.check(rows_of([c for c, _ in CASES]))
+    valid = [r["_seq"] for r in V.valid_rows(checked).collect()]
+    invalid = [r["_seq"] for r in V.invalid_rows(checked).collect()]
+    assert sorted(valid + invalid) == list(range(len(CASES)))
+    counts = V.verdict_counts(checked).first()
+    assert tuple(counts) == (len(CASES), len(valid), len(invalid))
+
+
+def test_first_error_cut(rows_of):
+    cast_failure = {"actions": [{"action_type": "x", "value": "3.5"}]}
+    rows = rows_of([{"impressions": "1"}, cast_failure, {"impressions": "bad"}, {"impressions": "2"}])
+    kept = V.until_first_error(V.check(rows))
+    assert sorted((r["_seq"], r["_ok"]) for r in kept.collect()) == [(0, True), (1, False), (2, False)]
+
+
+def test_no_error_cuts_nothing(rows_of):
+    rows = rows_of([{"impressions": "1"}, {"actions": [{"action_type": "x", "value": "3.5"}]}])
+    assert V.until_first_error(V.check(rows)).count() == 2
+
+
+def test_typed_input_passes_through(spark):
+    rows = spark.sql(
+        "SELECT 1L AS _seq, 5L AS impressions, 7.0D AS spend, DATE'2024-01-02' AS date_start, "
+        "array(named_struct('action_type', 'a', 'value', 3L)) AS actions"
+    )
+    row = V.valid_rows(V.check(rows)).first()
+    assert (row.impressions, row.spend, str(row.date_start)) == (5, 7.0, "2024-01-02")
+    assert tuple(row.actions[0]) == ("a", 3)
+
+
+def test_text_in_a_nested_column_is_no_list(spark):
+    rows = spark.sql("SELECT 1L AS _seq, '[]' AS actions")
+    assert verdicts(rows) == {1: [("not_list", "actions", None)]}
+
+
+def test_required_columns(spark):
+    rows = spark.sql("SELECT 1L AS _seq, 'n' AS user_friendly_name, CAST(NULL AS STRING) AS meta_action_type")
+    assert V.check(rows, "kpi_mapping").first()["_ok"]
+    strict = V.check(rows, "kpi_mapping", enforce_required=True).first()
+    assert [(i["code"], i["field"]) for i in strict["_issues"]] == [("required", "meta_action_type")]
+
+
+@pytest.mark.parametrize(
+    "name,texts",
+    [
+        ("impressions", {"7": True, "true": True, "7.5": False, '"7"': False, "null": True, "[1]": False}),
+        ("spend", {"7.5": True, "7": False, '"7.5"': False, "1e3": True, "null": True}),
+        ("date_start", {'"any"': True, "5": False, "null": True}),
+        ("ad_id", {'"x"': True, "5": False}),
+        ("actions", {"[]": True, "[1]": True, "{}": False, '"x"': False, "null": True}),
+    ],
+)
+def test_value_conforms(spark, name, texts):
+    field = {f.name: f for f in registry.fields("insights")}[name]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", V.value_conforms(field, F.parse_json("t")).alias("ok")).collect()
+    assert {r["t"]: r["ok"] for r in got} == texts
+
+
+def test_required_value_does_not_conform_to_null(spark):
+    field = registry.fields("kpi_mapping")[0]
+    got = spark.range(1).select(V.value_conforms(field, F.parse_json(F.lit("null"))).alias("ok")).first()
+    assert got["ok"] is False
+
+
+def test_verdict_is_not_pushed_below_the_parse(rows_of):
+    """One parse per value: a filter on the verdict stays above the projection."""
+    valid = V.valid_rows(V.check(rows_of([{"impressions": "1", "actions": [ITEM]}])))
+    plan = plan_of(valid)
+    assert plan.count("regexp_extract(impressions") == 1
+    assert plan.count("StructType(StructField(action_type,StringType,true)") == 1
