@@ -17,8 +17,9 @@ def keep_latest(
     """One row per key: the greatest ``latest``, on ties the first in ingest order.
 
     Missing keys form a group of their own, and a missing ``latest`` is lowest; a column
-    that the rows do not have is missing in all of them. Spark plans ``row_number() = 1`` with a group limit before the shuffle, so each task sends
-    at most one row per key: a key that holds a large share of all rows stays cheap.
+    that the rows do not have is missing in all of them. Spark plans ``row_number() = 1``
+    with a group limit before the shuffle, so each task sends at most one row per key: a
+    key that holds a large share of all rows stays cheap.
     """
     version = F.col(latest) if latest in rows.columns else F.lit("")
     if latest in rows.columns and isinstance(rows.schema[latest].dataType, T.StringType):

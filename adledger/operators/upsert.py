@@ -75,8 +75,8 @@ def _missing(keys: Sequence[str]) -> Column:
     return reduce(or_, (F.col(k).isNull() for k in keys))
 
 
-def _source_facts(src: DataFrame, keys: Sequence[str]) -> tuple[int, list]:
-    """Row count and touched days of a staged source; raises if a key comes twice.
+def _source_facts(src: DataFrame, keys: Sequence[str]) -> tuple[int, list, int]:
+    """Rows, touched days and undated rows of a staged source; raises if a key comes twice.
 
     One pass over the key columns. What reaches the driver is one row: its list of days
     is bounded by the calendar, not by the data.
@@ -88,12 +88,13 @@ def _source_facts(src: DataFrame, keys: Sequence[str]) -> tuple[int, list]:
             F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
             F.coalesce(F.max(F.when(~_missing(keys), F.col("n"))), F.lit(0)).alias("most"),
             F.collect_set(PARTITION).alias("days"),
+            F.coalesce(F.sum(F.when(F.col(PARTITION).isNull(), F.col("n"))), F.lit(0)).alias("undated"),
         )
         .first()
     )
     if fact["most"] > 1:
         raise ValueError(f"merge source has several rows for one key {tuple(keys)}")
-    return fact["n"], sorted(fact["days"])
+    return fact["n"], sorted(fact["days"]), fact["undated"]
 
 
 def _on_days(days: list) -> Column:
@@ -104,13 +105,21 @@ def _on_days(days: list) -> Column:
     return F.col(PARTITION).isin(days)
 
 
-def _overwrite_days(rows: DataFrame, path: str) -> None:
-    """Replace the day partitions of ``rows``.
+def _by_day(rows: DataFrame, n_days: int) -> DataFrame:
+    """Bring the rows of a day together, in tasks of the advisory size.
 
-    Rebalancing gives each day few files of the advisory size, and splits a large day.
+    Adaptive execution splits a large day and merges small ones. A split cuts through a
+    whole shuffle partition, and any other day in it would end up in as many small files;
+    so there are far more partitions than days, and two days rarely share one.
     """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.hint("rebalance", max(partitions, 64 * n_days), PARTITION)
+
+
+def _overwrite_days(rows: DataFrame, path: str, n_days: int) -> None:
+    """Replace the day partitions of ``rows``."""
     (
-        rows.hint("rebalance", PARTITION)
+        _by_day(rows, n_days)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
@@ -118,16 +127,20 @@ def _overwrite_days(rows: DataFrame, path: str) -> None:
     )
 
 
-def append_rows(rows: DataFrame, path: str) -> None:
-    """Append to the table, with files of a sensible size per day."""
-    rows.hint("rebalance", PARTITION).write.mode("append").partitionBy(PARTITION).parquet(path)
+def append_rows(rows: DataFrame, path: str, n_days: int = 31) -> None:
+    """Append to the table, with files of a sensible size per day (``n_days``: about how many)."""
+    _by_day(rows, n_days).write.mode("append").partitionBy(PARTITION).parquet(path)
 
 
 def overwrite_then_append(first: DataFrame, others: Sequence[DataFrame], path: str) -> None:
     """Load a staging table: the first batch replaces its content, the others add to it."""
-    first.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        PARTITION
-    ).parquet(path)
+    (
+        _by_day(first, n_days=31)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(PARTITION)
+        .parquet(path)
+    )
     for batch in others:
         append_rows(batch, path)
 
@@ -152,7 +165,7 @@ def upsert(
     src = src.select(*(_column(src, f).alias(f.name) for f in schema.fields))
     if not staged:
         src = stage(src, "merge-source")
-    processed, days = _source_facts(src, keys)
+    processed, days, n_undated = _source_facts(src, keys)
     if processed == 0:
         return {"processed": 0, "status": "no_records"}
     ensure_table(spark, path, schema)
@@ -164,10 +177,9 @@ def upsert(
         kept = old.filter(~_missing(keys)).join(new_keys, list(keys), "left_anti")
         # Kept apart so that they do not all meet in one join task.
         unmatched = old.filter(_missing(keys))
-        _overwrite_days(kept.select(*schema.names).unionByName(unmatched).unionByName(incoming), path)
-    undated = src.filter(F.col(PARTITION).isNull())
-    if not undated.isEmpty():
-        append_rows(undated, path)
+        _overwrite_days(kept.select(*schema.names).unionByName(unmatched).unionByName(incoming), path, len(days))
+    if n_undated:
+        append_rows(src.filter(F.col(PARTITION).isNull()), path)
     return {"processed": processed, "rows_affected": processed, "status": "success"}
 
 
@@ -188,7 +200,7 @@ def update_only(
     src = src.select(*(_column(src, f).alias(f.name) for f in schema.fields))
     if not staged:
         src = stage(src, "update-source")
-    processed, days = _source_facts(src, keys)
+    processed, days, _ = _source_facts(src, keys)
     if not days:
         return processed
     old = read_table(spark, path, schema).filter(_on_days(days))
@@ -206,7 +218,7 @@ def update_only(
         )
     )
     _overwrite_days(
-        updated.select(*schema.names).unionByName(old.filter(_missing(keys))), path
+        updated.select(*schema.names).unionByName(old.filter(_missing(keys))), path, len(days)
     )
     return processed
 

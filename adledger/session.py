@@ -13,6 +13,22 @@ SETTINGS = {
 }
 
 
+# Bytes a task should handle: small enough to sort in memory with a few tasks per executor.
+TASK_BYTES = 256 * 1024 * 1024
+
+
+def size_for(spark: SparkSession, input_bytes: int) -> None:
+    """Set the number of shuffle partitions and the file sizes for a job's input.
+
+    The default of 200 partitions would mean half a terabyte per task at 100 TB. Adaptive
+    execution merges partitions that turn out small, so this is an upper bound.
+    """
+    partitions = max(spark.sparkContext.defaultParallelism, -(-input_bytes // TASK_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TASK_BYTES))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(TASK_BYTES))
+
+
 def build_session(master: str | None = None, app: str = "adledger", **conf: str) -> SparkSession:
     """A session with ``SETTINGS``; extra settings go in as ``spark_sql_x`` style keywords."""
     builder = SparkSession.builder.appName(app)

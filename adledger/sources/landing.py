@@ -69,8 +69,10 @@ def _is_corrupt(rows: DataFrame) -> Column:
     return F.col(CORRUPT).isNotNull() | F.coalesce(F.length("ad_id") < 0, F.lit(False))
 
 
-def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Parsed rows, and the lines that are not JSON."""
+def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Parsed rows, and the lines that are not JSON (None if the source has no such lines)."""
+    if CORRUPT not in rows.columns:
+        return rows, None
     bad = _is_corrupt(rows)
     return rows.filter(~bad).drop(CORRUPT), rows.filter(bad)
 

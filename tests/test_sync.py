@@ -3,7 +3,10 @@ from pyspark.sql import functions as F
 
 from adledger.functions.text import mask_columns
 from adledger.operators.upsert import read_table
+from adledger.operators.validate import check, until_first_error
 from adledger.plans import sync as S
+from adledger.session import size_for
+from adledger.sources.landing import read_landing, split_corrupt
 from adledger.storage import run_folder
 
 
@@ -116,3 +119,37 @@ def test_undated_and_foreign_rows_are_out_of_range(spark, rows_of):
     rows = rows_of([{"account_id": "9", "ad_id": "1"}, {"ad_id": "1", "date_start": "2024-01-05"}])
     report = S.sync(spark, config(spark), rows.withColumn("x", F.lit(1)), as_of="2024-01-31")
     assert report["status"] == "completed_no_data"
+
+
+def test_landing_with_broken_lines(spark, folder):
+    lines = [
+        '{"account_id":"9","ad_id":"1","date_start":"2024-01-05","clicks":"1"}',
+        '{"account_id":"9","ad_id":"2","date_st',
+        '{"account_id":"9","ad_id":"3","date_start":"2024-01-05","clicks":"x"}',
+    ]
+    files = spark.createDataFrame([("9", x) for x in lines], "account_id string, value string")
+    files.write.partitionBy("account_id").text(folder)
+    cfg = config(spark, quarantine_path=run_folder(spark, "q"))
+    report = S.sync(spark, cfg, read_landing(spark, folder), as_of="2024-01-31")
+    assert report["steps"]["fetch_insights"] == {"status": "success", "total_records": 2, "corrupt_lines": 1}
+    assert table(spark, cfg) == [("1", 1)]
+    codes = spark.read.json(cfg.quarantine_path).select(F.inline("issues")).collect()
+    assert sorted(r.code for r in codes) == ["bad_value", "not_json"]
+
+
+def test_first_error_cut_by_place(spark, folder):
+    """The ingest order of a file scan is a struct; the cut compares it as one value."""
+    lines = [f'{{"ad_id":"{i}","clicks":"{"x" if i == 3 else i}"}}' for i in range(6)]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(folder)
+    rows, _ = split_corrupt(read_landing(spark, folder))
+    kept = until_first_error(check(rows)).collect()
+    assert sorted(r.ad_id for r in kept) == ["0", "1", "2", "3"]
+
+
+def test_size_for(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size_for(spark, 100 * 1024**4)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "409600"
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    for key in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"):
+        spark.conf.unset(key)

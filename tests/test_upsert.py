@@ -200,3 +200,24 @@ def test_old_rows_are_read_from_touched_days_only(spark, folder):
     pruned = plan_of(old).split("PartitionFilters: ")[1].split("\n")[0]
     assert "date_start" in pruned
     assert "Exchange" not in tree_of(old)
+
+
+def test_a_hot_day_is_split_over_files(spark, folder):
+    name = F.concat(*(F.md5((F.col("id") + i).cast("string")) for i in range(4)))
+    rows = spark.range(0, 30000, 1, 8).select(
+        F.col("id").cast("string").alias("ad_id"),
+        F.lit("9").alias("account_id"),
+        name.alias("ad_name"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.when(F.col("id") % 3 == 0, 0).otherwise((F.col("id") % 20).cast("int"))).alias("date_start"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, str(200 * 1024))
+    try:
+        U.append_rows(registry.conform(rows), folder)
+    finally:
+        spark.conf.unset(key)
+    stored = spark.read.parquet(folder)
+    files = stored.select("date_start", F.col("_metadata.file_path").alias("f")).distinct()
+    per_day = {str(r[0]): r[1] for r in files.groupBy("date_start").count().collect()}
+    assert per_day["2024-01-01"] > 2 and max(v for d, v in per_day.items() if d != "2024-01-01") <= 2
+    assert stored.count() == 30000
