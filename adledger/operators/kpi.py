@@ -135,6 +135,7 @@ def resolve(
     )
     own_key = mapping_key(F.col(account), F.col(name))
     all_key = mapping_key(F.lit(ALL_ACCOUNTS), F.col(name))
+    shared = shared.filter(F.col("_all_key").startswith(f"{ALL_ACCOUNTS}:"))
     joined = requests.join(own, own_key == F.col("_own_key"), "left").join(
         shared, all_key == F.col("_all_key"), "left"
     )

@@ -223,11 +223,17 @@ def update_only(
     return processed
 
 
+def _in_day_range(target: DataFrame, src: DataFrame) -> DataFrame:
+    """Table rows between the first and the last day of ``src``; prunes folders at run time."""
+    first, last = (src.agg(f(PARTITION)).scalar() for f in (F.min, F.max))
+    return target.filter(F.col(PARTITION).between(first, last))
+
+
 def merge_counts(
     target: DataFrame, src: DataFrame, keys: Sequence[str] = UPSERT_KEYS
 ) -> DataFrame:
     """What a merge would do, from the keys alone: processed, updated, inserted, affected."""
-    known = target.select(*keys)
+    known = _in_day_range(target.select(*keys), src)
     matched = src.select(*keys).join(known, list(keys), "left_semi")
     updated = matched.agg(F.count(F.lit(1))).scalar()
     counts = src.agg(F.count(F.lit(1)).alias("processed"))
@@ -281,7 +287,10 @@ def existing_records(
     out = target.select(*LEGACY_KEYS)
     for column, wanted in zip(LEGACY_KEYS, (date_starts, date_stops, ad_ids)):
         if isinstance(wanted, DataFrame):
-            out = out.join(wanted.toDF(column).distinct(), column, "left_semi")
+            wanted = wanted.toDF(column)
+            if column == PARTITION:
+                out = _in_day_range(out, wanted)
+            out = out.join(wanted, column, "left_semi")
         else:
             out = out.filter(F.col(column).isin(list(wanted)))
     return out.select(*LEGACY_KEYS)

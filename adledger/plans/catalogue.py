@@ -14,7 +14,7 @@ from adledger.operators import dedup, kpi, profile, upsert, validate
 from adledger.plans import fixtures as fx
 from adledger.plans import sync as jobs
 from adledger.sources import conversions, landing, windows
-from adledger.storage import run_folder
+from adledger.storage import run_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -355,7 +355,8 @@ def upsert_empty(spark, sf_dir):
 
 @query
 def merge_counts(spark, sf_dir):
-    return upsert.merge_counts(fx.valid_load(spark, sf_dir, 1), fx.valid_load(spark, sf_dir, 2))
+    target = upsert.read_table(spark, _loaded(spark, sf_dir, "counts"))
+    return upsert.merge_counts(target, stage(fx.valid_load(spark, sf_dir, 2), "merge-source"))
 
 
 @query
@@ -446,7 +447,7 @@ def quarantine(spark, sf_dir):
 @query
 def existing_records(spark, sf_dir):
     target = upsert.read_table(spark, _loaded(spark, sf_dir, "existing"))
-    batch = fx.valid_load(spark, sf_dir, 2)
+    batch = stage(fx.valid_load(spark, sf_dir, 2), "batch")
     found = upsert.existing_records(
         target, *(batch.select(k) for k in registry.LEGACY_KEYS)
     )
@@ -558,7 +559,7 @@ def kpi_resolve(spark, sf_dir):
         F.col("account_id").alias("ad_account_id"),
         F.col("event_type").alias("kpi_name"),
     )
-    return kpi.resolve(requests, _mappings(spark, sf_dir))
+    return kpi.resolve(requests, kpi.read_mappings(spark, _mapping_table(spark, sf_dir)))
 
 
 # -- jobs --------------------------------------------------------------------------
