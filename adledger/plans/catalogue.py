@@ -494,8 +494,11 @@ def _mapping_table(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _mapping_rows(df: DataFrame) -> DataFrame:
-    written = F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss").alias("last_updated")
-    return df.select(*(c for c in registry.schema_for("kpi_mapping").names[:-1]), written)
+    written = F.to_utc_timestamp("last_updated", F.current_timezone())
+    return df.select(
+        *registry.schema_for("kpi_mapping").names[:-1],
+        F.date_format(written, "yyyy-MM-dd HH:mm:ss").alias("last_updated"),
+    )
 
 
 @query
