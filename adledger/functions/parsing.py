@@ -22,35 +22,44 @@ DATE_PATTERN = r"^((?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2})\z"
 SPACED_DATE_PATTERN = r"^((?!0000)[0-9]{4}-[0-9]{1,2}- [1-9])\z"
 
 
-def _matched(c: Column, pattern: str) -> Column:
+def _matched(text: str, pattern: str) -> str:
     """Group 1, or an empty text (which no cast below accepts)."""
-    return F.regexp_extract(c.cast("string"), pattern, 1)
+    return f"regexp_extract(CAST({text} AS STRING), r'{pattern}', 1)"
 
 
-def parse_int(c: Column) -> Column:
-    return _matched(c, INT_PATTERN).try_cast("bigint")
+def _int(text: str) -> str:
+    return f"try_cast({_matched(text, INT_PATTERN)} AS BIGINT)"
 
 
-def parse_float(c: Column) -> Column:
-    word = F.lower(_matched(c, SPECIAL_PATTERN))
+def _float(text: str) -> str:
+    word = f"lower({_matched(text, SPECIAL_PATTERN)})"
     special = (
-        F.when(word.endswith("nan"), F.lit(float("nan")))
-        .when(word.startswith("-"), F.lit(float("-inf")))
-        .when(word != "", F.lit(float("inf")))
+        f"CASE WHEN endswith({word}, 'nan') THEN DOUBLE('NaN') "
+        f"WHEN startswith({word}, '-') THEN DOUBLE('-Infinity') "
+        f"WHEN {word} <> '' THEN DOUBLE('Infinity') END"
     )
-    return F.coalesce(_matched(c, FLOAT_PATTERN).try_cast("double"), special)
+    return f"coalesce(try_cast({_matched(text, FLOAT_PATTERN)} AS DOUBLE), {special})"
 
 
-def parse_date(c: Column) -> Column:
-    spaced = F.replace(_matched(c, SPACED_DATE_PATTERN), F.lit(" "), F.lit(""))
-    return F.coalesce(
-        _matched(c, DATE_PATTERN).try_cast("date"), spaced.try_cast("date")
+def _date(text: str) -> str:
+    spaced = f"replace({_matched(text, SPACED_DATE_PATTERN)}, ' ', '')"
+    return (
+        f"coalesce(try_cast({_matched(text, DATE_PATTERN)} AS DATE), try_cast({spaced} AS DATE))"
     )
 
 
-PARSERS = {"float": parse_float, "int": parse_int, "date": parse_date}
+PARSERS = {"float": _float, "int": _int, "date": _date}
 
 
-def parse(kind: str, c: Column) -> Column:
-    """Parse text as ``kind``; kinds without a parser are taken as text."""
-    return PARSERS[kind](c) if kind in PARSERS else c.cast("string")
+def parse_sql(kind: str, text: str) -> str:
+    """SQL that parses the SQL value ``text`` as ``kind``; other kinds are taken as text.
+
+    SQL text, because expressions for all columns are generated: building them from column
+    objects takes a call into the JVM per function, seconds for a wide table.
+    """
+    return PARSERS[kind](text) if kind in PARSERS else f"CAST({text} AS STRING)"
+
+
+def parse(kind: str, text: str) -> Column:
+    """``parse_sql`` as a column; ``text`` is a column name or other SQL."""
+    return F.expr(parse_sql(kind, text))

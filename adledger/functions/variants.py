@@ -8,6 +8,7 @@ _ITEMS = "array<struct<action_type string, value variant>>"
 _EXACT_ITEMS = "array<struct<action_type variant, value variant>>"
 # Non-list JSON texts that count as "nothing there".
 _EMPTY_TEXT = r'^(?:null|\{\}|""|false|-?0(?:\.0+)?(?:[eE][+-]?[0-9]+)?)\z'
+FRACTION_TYPES = "^(DECIMAL|DOUBLE|FLOAT)"
 # Type names reported for JSON values, by the start of Spark's type name.
 _TYPE_NAMES = {
     "STRI": "str",
@@ -31,32 +32,32 @@ def as_variant(c: Column, data_type: T.DataType) -> Column:
     return c.cast(T.VariantType())
 
 
-def items_of(v: Column) -> Column:
-    """The list as ``array<struct<action_type string, value variant>>``; NULL for no list."""
-    return F.try_variant_get(v, "$", _ITEMS)
+def items_of(v: str) -> str:
+    """SQL: the list as ``array<struct<action_type string, value variant>>``; NULL for no list."""
+    return f"try_variant_get({v}, '$', '{_ITEMS}')"
 
 
-def exact_items_of(v: Column) -> Column:
-    """The list with both members as VARIANT, which tells an absent key from a JSON null.
+def exact_items_of(v: str) -> str:
+    """SQL: the list with both members as VARIANT: tells an absent key from a JSON null.
 
     NULL element: not an object. NULL member: key absent. (A JSON null is a VARIANT null.)
     """
-    return F.try_variant_get(v, "$", _EXACT_ITEMS)
+    return f"try_variant_get({v}, '$', '{_EXACT_ITEMS}')"
 
 
-def is_empty(v: Column) -> Column:
-    """True for NULL and for scalars or objects that are empty, zero or false."""
-    return v.isNull() | F.to_json(v).rlike(_EMPTY_TEXT)
+def is_empty(v: str) -> str:
+    """SQL: true for NULL and for scalars or objects that are empty, zero or false."""
+    return f"({v} IS NULL OR to_json({v}) RLIKE r'{_EMPTY_TEXT}')"
 
 
-def lacks_keys(item: Column) -> Column:
-    """True for an element that is no object or has a NULL member."""
-    return item["action_type"].isNull() | item["value"].isNull()
+def lacks_keys(item: str) -> str:
+    """SQL: true for an element that is no object or has a NULL member."""
+    return f"({item}.action_type IS NULL OR {item}.value IS NULL)"
 
 
-def is_fraction(v: Column) -> Column:
-    """True for JSON numbers written with a fraction or exponent, or beyond 64 bits."""
-    return F.schema_of_variant(v).rlike("^(DECIMAL|DOUBLE|FLOAT)")
+def is_fraction(v: str) -> str:
+    """SQL: true for JSON numbers with a fraction or exponent, or beyond 64 bits."""
+    return f"schema_of_variant({v}) RLIKE r'{FRACTION_TYPES}'"
 
 
 def type_prefix(v: Column) -> Column:

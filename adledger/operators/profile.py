@@ -19,13 +19,13 @@ def field_types(raw: DataFrame, json: str = "record") -> DataFrame:
         F.explode(
             F.try_variant_get(F.try_parse_json(F.col(json)), "$", "map<string,variant>")
         ).alias("field", "value")
-    ).withColumn("items", exact_items_of(F.col("value")))
+    ).withColumn("items", F.expr(exact_items_of("value")))
     nested = F.coalesce(F.get("items", F.lit(0)).isNotNull(), F.lit(False))
 
     def entry(kind, prefix):
         return F.struct(F.lit(kind).alias("kind"), prefix.alias("prefix"))
 
-    complete = F.filter("items", lambda x: ~lacks_keys(x))
+    complete = F.expr(f"filter(items, x -> NOT {lacks_keys('x')})")
     inside = F.transform(complete, lambda x: entry("values", type_prefix(x["value"])))
     entries = F.when(
         nested, F.concat(F.array(entry("nested", F.lit("ARRA"))), F.array_distinct(inside))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from adledger import registry
 from adledger.operators import validate
 from adledger.registry import LEGACY_KEYS, PARTITION, UPSERT_KEYS
-from adledger.storage import stage
+from adledger.storage import stage, staged
 
 # More days than this in one source are bounded by a range instead of listed.
 _MAX_LISTED_DAYS = 4000
@@ -150,21 +150,22 @@ def upsert(
     path: str,
     schema: T.StructType | None = None,
     keys: Sequence[str] = UPSERT_KEYS,
-    staged: bool = False,
+    is_staged: bool = False,
 ) -> dict:
     """Merge ``src``: replace matched rows as a whole, insert the others.
 
-    ``staged=True`` says that ``src`` is read from storage already; otherwise it is staged
-    first, because the key check and the write both read it. Old rows of the touched days
-    are kept if no source row has their key; the source is never shuffled on its full
-    width. Rows without a day match nothing, so they are appended and their partition is
+    ``is_staged`` says that ``src`` is read from storage already; otherwise it is staged for
+    the time of the merge, because the key check and the write both read it. Old rows of the
+    touched days are kept if no source row has their key; the source is never joined on its
+    full width. Rows without a day match nothing, so they are appended and their partition is
     not rewritten; that comes last, so that a run that failed before it can be repeated.
     """
-    spark = src.sparkSession
     schema = schema or registry.schema_for("insights")
-    src = src.select(*(_column(src, f).alias(f.name) for f in schema.fields))
-    if not staged:
-        src = stage(src, "merge-source")
+    src = registry.conform(src, schema)
+    if not is_staged:
+        with staged(src, "merge-source") as stored:
+            return upsert(stored, path, schema, keys, is_staged=True)
+    spark = src.sparkSession
     processed, days, n_undated = _source_facts(src, keys)
     if processed == 0:
         return {"processed": 0, "status": "no_records"}
@@ -177,49 +178,40 @@ def upsert(
         kept = old.filter(~_missing(keys)).join(new_keys, list(keys), "left_anti")
         # Kept apart so that they do not all meet in one join task.
         unmatched = old.filter(_missing(keys))
-        _overwrite_days(kept.select(*schema.names).unionByName(unmatched).unionByName(incoming), path, len(days))
+        merged = kept.select(*schema.names).unionByName(unmatched).unionByName(incoming)
+        _overwrite_days(merged, path, len(days))
     if n_undated:
         append_rows(src.filter(F.col(PARTITION).isNull()), path)
     return {"processed": processed, "rows_affected": processed, "status": "success"}
 
 
-def _column(df: DataFrame, f: T.StructField) -> Column:
-    return (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
-
-
 def update_only(
     src: DataFrame,
     path: str,
     schema: T.StructType | None = None,
     keys: Sequence[str] = LEGACY_KEYS,
-    staged: bool = False,
+    is_staged: bool = False,
 ) -> int:
     """Replace the non-key columns of matched table rows; insert nothing."""
-    spark = src.sparkSession
     schema = schema or registry.schema_for("insights")
-    src = src.select(*(_column(src, f).alias(f.name) for f in schema.fields))
-    if not staged:
-        src = stage(src, "update-source")
+    src = registry.conform(src, schema)
+    if not is_staged:
+        with staged(src, "update-source") as stored:
+            return update_only(stored, path, schema, keys, is_staged=True)
     processed, days, _ = _source_facts(src, keys)
     if not days:
         return processed
-    old = read_table(spark, path, schema).filter(_on_days(days))
+    old = read_table(src.sparkSession, path, schema).filter(_on_days(days))
     values = registry.updatable_columns(old, tuple(keys))
     new = src.filter(~_missing(keys)).select(*keys, F.struct(*values).alias("_new"))
+    matched = F.col("_new").isNotNull()
     updated = (
         old.filter(~_missing(keys))
         .join(new, list(keys), "left")
-        .select(
-            *keys,
-            *(
-                F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
-                for c in values
-            ),
-        )
-    )
-    _overwrite_days(
-        updated.select(*schema.names).unionByName(old.filter(_missing(keys))), path, len(days)
+        .select(*keys, *(F.when(matched, F.col("_new")[c]).otherwise(F.col(c)).alias(c) for c in values))
     )
+    unmatched = old.filter(_missing(keys))
+    _overwrite_days(updated.select(*schema.names).unionByName(unmatched), path, len(days))
     return processed
 
 
@@ -328,27 +320,28 @@ def append_with_rejects(
     return checked.filter("NOT _ok").select("_order", "record", "issues")
 
 
-def stage_checked(checked: DataFrame, schema: T.StructType, order: str = "_seq") -> DataFrame:
+def stage_checked(
+    checked: DataFrame, schema: T.StructType, order: str = "_seq", path: str | None = None
+) -> DataFrame:
     """Store checked rows once: usable ones typed, the others as JSON with their issues.
 
     Both the table write and the quarantine read this, so scan, deduplication and checks
     run once. The verdict is the partition, which makes the counts cheap.
     """
-    ok = F.col("_ok")
     typed = [
-        F.when(ok, F.col(f"_typed_{f.name}")).cast(f.dataType)
-        if f"_typed_{f.name}" in checked.columns
-        else F.lit(None).cast(f.dataType)
+        f"CAST({f'IF(_ok, `_typed_{f.name}`, NULL)' if f'_typed_{f.name}' in checked.columns else 'NULL'} "
+        f"AS {f.dataType.simpleString()}) AS `{f.name}`"
         for f in schema.fields
     ]
     return stage(
         checked.select(
-            *(c.alias(f.name) for c, f in zip(typed, schema.fields)),
+            *map(F.expr, typed),
             F.col(order).alias("_order"),
-            F.when(~ok, validate.record_json(checked)).alias("record"),
-            F.when(~ok, F.col("_issues")).alias("issues"),
-            ok.alias("_ok"),
+            F.when(~F.col("_ok"), validate.record_json(checked)).alias("record"),
+            F.expr("IF(_ok, NULL, _issues)").alias("issues"),
+            "_ok",
         ),
         "checked",
         ("_ok",),
+        path,
     )

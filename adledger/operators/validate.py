@@ -10,14 +10,12 @@ A row whose checks pass and whose cast fails has the one issue ``transformation_
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adledger import registry
-from adledger.functions.parsing import PARSERS, parse
+from adledger.functions.parsing import PARSERS, parse_sql
 from adledger.functions.variants import (
+    FRACTION_TYPES,
     as_variant,
     exact_items_of,
     is_empty,
@@ -48,142 +46,133 @@ def check(
     present = [f for f in registry.fields(name) if f.name in rows.columns]
     parsed = [f for f in present if not f.nested and f.kind in PARSERS]
     nested = [f for f in present if f.nested]
+    required = [f for f in present if enforce_required and not f.nullable]
 
     # Parse once. A later projection refers to these columns several times.
     types = {f.name: rows.schema[f.name].dataType for f in nested}
     out = rows.withColumns(
         {f"_variant_{f.name}": as_variant(F.col(f.name), types[f.name]) for f in nested}
-    ).withColumns(
+    )
+    out = _with_sql(
+        out,
         {
-            **{f"_typed_{f.name}": parse(f.kind, F.col(f.name)) for f in present if not f.nested},
-            **{f"_items_{f.name}": items_of(F.col(f"_variant_{f.name}")) for f in nested},
-        }
+            **{f"_typed_{f.name}": parse_sql(f.kind, f"`{f.name}`") for f in present if not f.nested},
+            **{f"_items_{f.name}": items_of(f"_variant_{f.name}") for f in nested},
+        },
     )
-
-    # Checks. The issue list is only built for rows that have issues.
-    required = [f for f in present if enforce_required and not f.nullable]
-    scalar_issues = [
-        *(F.when(_unparsed(f), _issue(BAD_VALUE, f, value=F.col(f.name))) for f in parsed),
-        *(F.when(F.col(f.name).isNull(), _issue(REQUIRED, f)) for f in required),
-    ]
     bad = _any(
         [_unparsed(f) for f in parsed]
-        + [F.col(f.name).isNull() for f in required]
+        + [f"`{f.name}` IS NULL" for f in required]
         + [_malformed(f) for f in nested]
     )
     # A filter on the verdict must not be pushed below this projection: it would be
     # evaluated there from the raw columns, parsing everything again. Optimizer rules leave
     # an expression alone that is not deterministic, and this one is always true.
-    pinned = F.monotonically_increasing_id() >= 0
-    out = out.withColumns(
-        {f"_typed_{f.name}": _typed_items(f) for f in nested} | {"_bad": bad & pinned}
+    pinned = "monotonically_increasing_id() >= 0"
+    out = _with_sql(
+        out,
+        {f"_typed_{f.name}": _typed_items(f) for f in nested} | {"_bad": f"{bad} AND {pinned}"},
     )
     data = [c for c in rows.columns if c != order]
-    failed = _any([_lost_values(f) for f in nested]) | _is_blank(data)
-    out = out.withColumn("_failed", failed)
-    all_issues = F.concat(
-        F.array(*scalar_issues).cast(ISSUES) if scalar_issues else F.array().cast(ISSUES),
-        *(_nested_issues(f) for f in nested),
-    )
-    out = out.withColumns(
+    blank = "NOT " + _any([f"`{c}` IS NOT NULL" for c in data])
+    out = _with_sql(out, {"_failed": _any([_lost_values(f) for f in nested] + [blank])})
+    # The issue list is only built for rows that have issues.
+    scalar_issues = [
+        *(_when(_unparsed(f), _issue(BAD_VALUE, f, value=f"`{f.name}`")) for f in parsed),
+        *(_when(f"`{f.name}` IS NULL", _issue(REQUIRED, f)) for f in required),
+    ]
+    lists = [_issue_list(scalar_issues), *(_nested_issues(f) for f in nested)]
+    all_issues = f"filter(concat({', '.join(lists)}), x -> x IS NOT NULL)"
+    out = _with_sql(
+        out,
         {
-            "_ok": ~F.col("_bad") & ~F.col("_failed"),
-            "_issues": F.when(F.col("_bad"), F.filter(all_issues, lambda x: x.isNotNull()))
-            .when(F.col("_failed"), F.array(_issue(CAST_FAILED)))
-            .otherwise(F.array().cast(ISSUES)),
-        }
+            "_ok": "NOT _bad AND NOT _failed",
+            "_issues": f"CASE WHEN _bad THEN {all_issues} "
+            f"WHEN _failed THEN {_issue_list([_issue(CAST_FAILED)])} ELSE {_issue_list([])} END",
+        },
     )
     helpers = [c for f in nested for c in (f"_variant_{f.name}", f"_items_{f.name}")]
     return out.drop(*helpers, "_failed")
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(or_, conditions, F.lit(False))
+def _with_sql(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.withColumns({name: F.expr(sql) for name, sql in columns.items()})
 
 
-def _is_blank(columns: list[str]) -> Column:
-    """A record without any value."""
-    return ~_any([F.col(c).isNotNull() for c in columns])
+def _any(conditions: list[str]) -> str:
+    return "(" + " OR ".join(f"({c})" for c in conditions or ["false"]) + ")"
+
+
+def _when(condition: str, value: str) -> str:
+    return f"CASE WHEN {condition} THEN {value} END"
 
 
 def _issue(
-    code: str, field: registry.Field | None = None, idx: Column | None = None,
-    value: Column | None = None,
-) -> Column:
-    text = F.lit(None) if value is None else value
-    return F.struct(
-        F.lit(code).alias("code"),
-        F.lit(field.name if field else None).cast("string").alias("field"),
-        (F.lit(None) if idx is None else idx).cast("int").alias("idx"),
-        text.cast("string").alias("value"),
+    code: str, field: registry.Field | None = None, idx: str = "NULL", value: str = "NULL"
+) -> str:
+    name = f"'{field.name}'" if field else "CAST(NULL AS STRING)"
+    return (
+        f"named_struct('code', '{code}', 'field', {name}, "
+        f"'idx', CAST({idx} AS INT), 'value', CAST({value} AS STRING))"
     )
 
 
-def _unparsed(f: registry.Field) -> Column:
-    return F.col(f.name).isNotNull() & F.col(f"_typed_{f.name}").isNull()
+def _issue_list(issues: list[str]) -> str:
+    return f"CAST(array({', '.join(issues)}) AS {ISSUES})"
+
+
+def _unparsed(f: registry.Field) -> str:
+    return f"`{f.name}` IS NOT NULL AND _typed_{f.name} IS NULL"
 
 
-def _malformed(f: registry.Field) -> Column:
+def _malformed(f: registry.Field) -> str:
     """True if the value is no list, or an element is no object or lacks a key.
 
     An element without any NULL is fine. Otherwise the key may be absent or a JSON null,
     and the value itself is asked again.
     """
-    items, whole = F.col(f"_items_{f.name}"), F.col(f"_variant_{f.name}")
+    items, whole = f"_items_{f.name}", f"_variant_{f.name}"
     return (
-        F.when(items.isNull(), ~is_empty(whole))
-        .when(F.exists(items, lacks_keys), F.exists(exact_items_of(whole), lacks_keys))
-        .otherwise(F.lit(False))
+        f"CASE WHEN {items} IS NULL THEN NOT {is_empty(whole)} "
+        f"WHEN exists({items}, i -> {lacks_keys('i')}) "
+        f"THEN exists({exact_items_of(whole)}, i -> {lacks_keys('i')}) ELSE false END"
     )
 
 
-def _nested_issues(f: registry.Field) -> Column:
-    whole = F.col(f"_variant_{f.name}")
-    raw = F.try_variant_get(whole, "$", "array<variant>")
-    per_item = F.transform(
-        exact_items_of(whole),
-        lambda item, i: F.when(
-            item.isNull(), _issue(NOT_OBJECT, f, i, F.to_json(raw[i]))
-        ).when(lacks_keys(item), _issue(MISSING_KEYS, f, i, F.to_json(raw[i]))),
+def _nested_issues(f: registry.Field) -> str:
+    whole = f"_variant_{f.name}"
+    raw = f"to_json(try_variant_get({whole}, '$', 'array<variant>')[n])"
+    per_item = (
+        f"transform({exact_items_of(whole)}, (i, n) -> "
+        f"CASE WHEN i IS NULL THEN {_issue(NOT_OBJECT, f, 'n', raw)} "
+        f"WHEN {lacks_keys('i')} THEN {_issue(MISSING_KEYS, f, 'n', raw)} END)"
     )
     return (
-        F.when(F.col(f"_items_{f.name}").isNotNull(), per_item)
-        .when(~is_empty(whole), F.array(_issue(NOT_LIST, f, value=F.to_json(whole))))
-        .otherwise(F.array().cast(ISSUES))
+        f"CASE WHEN _items_{f.name} IS NOT NULL THEN CAST({per_item} AS {ISSUES}) "
+        f"WHEN NOT {is_empty(whole)} "
+        f"THEN {_issue_list([_issue(NOT_LIST, f, value=f'to_json({whole})')])} "
+        f"ELSE {_issue_list([])} END"
     )
 
 
-def _item_value(f: registry.Field, value: Column) -> Column:
-    """A nested value as the field's type; integers do not come from ``3.0`` or ``1e3``."""
-    typed = parse(f.kind, value.try_cast("string"))
+def _typed_items(f: registry.Field) -> str:
+    """Typed list with the two known keys; an empty list and a non-list become NULL.
+
+    Integers do not come from ``3.0`` or ``1e3``.
+    """
+    value = parse_sql(f.kind, "try_cast(i.value AS STRING)")
     if f.kind == "int":
-        return F.when(~is_fraction(value), typed)
-    return typed
-
-
-def _typed_items(f: registry.Field) -> Column:
-    """Typed list with the two known keys; an empty list and a non-list become NULL."""
-    items = F.col(f"_items_{f.name}")
-    typed = F.transform(
-        items,
-        lambda item: F.struct(
-            item["action_type"].alias("action_type"),
-            _item_value(f, item["value"]).alias("value"),
-        ),
-    )
-    return F.when(F.size(items) > 0, typed)
+        value = _when(f"NOT {is_fraction('i.value')}", value)
+    typed = f"named_struct('action_type', i.action_type, 'value', {value})"
+    return _when(f"size(_items_{f.name}) > 0", f"transform(_items_{f.name}, i -> {typed})")
 
 
-def _lost_values(f: registry.Field) -> Column:
+def _lost_values(f: registry.Field) -> str:
     """True if a nested value is there but did not parse (or is null where it must not be)."""
-    items, typed = F.col(f"_items_{f.name}"), F.col(f"_typed_{f.name}")
-    absent = F.is_variant_null if f.nullable else lambda v: F.lit(False)
-    lost = F.zip_with(
-        items, typed, lambda item, t: t["value"].isNull() & ~absent(item["value"])
-    )
-    return F.when(
-        F.exists(typed, lambda t: t["value"].isNull()), F.exists(lost, lambda x: x)
-    ).otherwise(F.lit(False))
+    items, typed = f"_items_{f.name}", f"_typed_{f.name}"
+    absent = "is_variant_null(i.value)" if f.nullable else "false"
+    lost = f"exists(zip_with({items}, {typed}, (i, t) -> t.value IS NULL AND NOT {absent}), x -> x)"
+    return f"CASE WHEN exists({typed}, t -> t.value IS NULL) THEN {lost} ELSE false END"
 
 
 def _data_columns(checked: DataFrame) -> list[str]:
@@ -247,5 +236,5 @@ def value_conforms(field: registry.Field, v: Column) -> Column:
     elif field.kind == "int":
         fits = shape.isin("BIGINT", "BOOLEAN")
     else:
-        fits = is_fraction(v)
+        fits = shape.rlike(FRACTION_TYPES)
     return F.when(v.isNull() | F.is_variant_null(v), F.lit(field.nullable)).otherwise(fits)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 
 @dataclass(frozen=True)
@@ -136,11 +136,13 @@ def updatable_columns(df: DataFrame, keys: tuple[str, ...] = LEGACY_KEYS) -> lis
     return [c for c in df.columns if c not in keys]
 
 
-def conform(df: DataFrame, name: str = "insights") -> DataFrame:
-    """Project to the registered columns; absent ones become typed nulls, others go."""
-    return df.select(
+def conform(df: DataFrame, schema: str | T.StructType = "insights") -> DataFrame:
+    """Project to the columns of a schema; absent ones become typed nulls, others go."""
+    schema = schema_for(schema) if isinstance(schema, str) else schema
+    return df.selectExpr(
         *(
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.data_type).alias(f.name)
-            for f in fields(name)
+            f"CAST({f'`{f.name}`' if f.name in df.columns else 'NULL'} AS {f.dataType.simpleString()}) "
+            f"AS `{f.name}`"
+            for f in schema.fields
         )
     )

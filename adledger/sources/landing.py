@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from adledger import registry
-from adledger.functions.parsing import parse_date
+from adledger.functions.parsing import parse
 from adledger.functions.text import as_day, day_text
 from adledger.sources.windows import CHUNK_DAYS, DAYS_BACK, PRESET_DAYS, windows_of_day
 
@@ -43,7 +43,7 @@ def read_landing(
     if accounts is not None:
         keep = keep & F.col("account_id").isin(list(accounts))
     if since is not None and until is not None:
-        in_range = day_between(F.col("date_start"), since, until)
+        in_range = day_between("date_start", since, until)
         # The first test reads the day alone, so it can prune day folders; a line that is
         # not JSON has no day of its own.
         undated = F.col("date_start").isNull()
@@ -77,14 +77,15 @@ def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return rows.filter(~bad).drop(CORRUPT), rows.filter(bad)
 
 
-def day_between(c: Column, since: str | date, until: str | date) -> Column:
+def day_between(column: str, since: str | date, until: str | date) -> Column:
     """``since <= day <= until`` for a day held as text or date.
 
     Text is compared as a parsed day (``2024-1-5`` is in January). A wider test on the
     text itself goes first: the scan can push it down, the parsed one cannot.
     """
     first, last = as_day(since), as_day(until)
-    return _text_months(c, first, last) & parse_date(c).between(F.lit(first), F.lit(last))
+    in_months = _text_months(F.col(column), first, last)
+    return in_months & parse("date", column).between(F.lit(first), F.lit(last))
 
 
 def _text_months(c: Column, first: date, last: date) -> Column:
@@ -118,7 +119,7 @@ def scan_range(
     Deduplicating this gives the same as deduplicating ``scan_windows``, whose extra
     copies of boundary days carry the same order and values.
     """
-    return of_accounts(rows.filter(day_between(F.col("date_start"), since, until)), accounts)
+    return of_accounts(rows.filter(day_between("date_start", since, until)), accounts)
 
 
 def scan_windows(
@@ -133,7 +134,7 @@ def scan_windows(
     The windows of a day follow from its offset in the range, so rows are matched to
     windows in place, with no join and no shuffle.
     """
-    hits = windows_of_day(parse_date(F.col("date_start")), since, until, chunk_days)
+    hits = windows_of_day(parse("date", "date_start"), since, until, chunk_days)
     return scan_range(rows, accounts, since, until).select("*", F.inline(hits))
 
 

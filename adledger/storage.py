@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,8 +35,29 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/adledger/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` once and return the frame that reads it back."""
-    path = run_folder(df.sparkSession, label)
+def stage(
+    df: DataFrame, label: str, partition_by: tuple[str, ...] = (), path: str | None = None
+) -> DataFrame:
+    """Write ``df`` once and return the frame that reads it back.
+
+    Give a ``path`` to be able to ``remove_folder`` it when nothing reads it any more.
+    """
+    path = path or run_folder(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a run folder of ours on whatever file system it is; absent is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``stage`` for the length of a block."""
+    path = run_folder(df.sparkSession, label)
+    try:
+        yield stage(df, label, path=path)
+    finally:
+        remove_folder(df.sparkSession, path)

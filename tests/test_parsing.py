@@ -2,7 +2,6 @@ from datetime import date, datetime
 
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from adledger.functions.parsing import parse
 
@@ -30,7 +29,7 @@ DATES = {
 
 def parsed(spark, kind, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    out = df.select("i", parse(kind, F.col("t")).alias("v")).collect()
+    out = df.select("i", parse(kind, "t").alias("v")).collect()
     return [r["v"] for r in sorted(out, key=lambda r: r["i"])]
 
 

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from adledger.operators.validate import check, until_first_error
 from adledger.plans import sync as S
 from adledger.session import size_for
 from adledger.sources.landing import read_landing, split_corrupt
-from adledger.storage import run_folder
+from adledger.storage import run_folder, shared_root
 
 
 def record(ad, day, **values):
@@ -46,6 +48,8 @@ def test_full_sync(spark, rows_of):
     bad = spark.read.json(cfg.quarantine_path).first()
     assert '"clicks":"bad"' in bad.record and bad.run_id == report["run_id"]
     assert bad.issues[0].code == "bad_value"
+    runs = shared_root(spark) + "/adledger"
+    assert not any(os.path.exists(f"{runs}/{f}/checked") for f in os.listdir(runs))
     log = spark.read.parquet(cfg.run_log_path).first()
     assert (log.status, log.total_records, log.processed) == ("completed", 3, 2)
 
@@ -153,3 +157,19 @@ def test_size_for(spark):
     spark.conf.set("spark.sql.shuffle.partitions", before)
     for key in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"):
         spark.conf.unset(key)
+
+
+def test_run_by_mode(spark, rows_of):
+    cfg, rows = config(spark), rows_of(RECORDS)
+    report = S.run(spark, cfg, rows, "daterange", start="2024-01-01", end="2024-01-31", use_test_table=True)
+    assert report["parameters"]["target_table"] == "meta_ads_test"
+    assert report["parameters"]["date_range"] == {"start": "2024-01-01", "end": "2024-01-31"}
+    assert table(spark, cfg.for_test_table()) == [("1", 1), ("3", None)]
+    report = S.run(spark, cfg, rows, as_of="2024-01-07", days_back=1, dry_run=True, skip_kpi_update=True)
+    assert report["steps"]["fetch_insights"]["total_records"] == 2
+    assert report["steps"]["upload"] == {"status": "skipped"} == report["steps"]["kpi_mappings"]
+    assert S.run(spark, cfg, rows, "full", as_of="2024-01-31", dry_run=True)["status"] == "completed"
+    with pytest.raises(ValueError, match="unknown mode"):
+        S.run(spark, cfg, rows, "hourly")
+    with pytest.raises(ValueError, match="both its ends"):
+        S.run(spark, cfg, rows, "daterange", start="2024-01-01")
