@@ -6,6 +6,8 @@ import __spark_entry__ as entry_points
 from adledger.operators.validate import check, verdict_counts
 from adledger.operators.dedup import dedup_stats, keep_latest
 from adledger.plans import fixtures as fx
+from adledger.plans.catalogue import QUERIES
+from adledger.plans.oracles import ORACLES
 from adledger.sources import landing
 from compare import connect, difference
 
@@ -17,13 +19,15 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     assert difference(spark, duck, name, SF_DIR) is None
 
 
 def test_every_query_has_a_twin():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
