@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adledger.llm import exact_dedup as exact, sharding
+from adledger.llm import byte_bpe, exact_dedup as exact, sharding, token_counts
 from adledger.llm.common import table
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
+    return byte_bpe.decode(encoded, ranks, pattern).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -17,6 +34,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op4_token_counts": op4_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
 }

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A Python worker gets batches of about this size, whatever the number of rows.
-BATCH_BYTES = 4 * 1024 * 1024
+BATCH_BYTES = 2 * 1024 * 1024
 BATCH_ROWS = 4096
 
 
