@@ -18,8 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adledger.storage import run_folder, stage
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# Keyed state on disk. A store is closed when its batch is committed to the shared folder; open,
+# each takes 4 MB of an executor's disk in advance, however little it holds.
+_STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 _STATE = "digest string, group_size long, best struct<points:long,neg_id:long,file:string>"
 
 
@@ -56,8 +62,9 @@ def watch(arrivals: DataFrame, state: str, updates: str):
     def publish(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{updates}/batch={batch}")
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in _STATE_SETTINGS}
+    for key, value in _STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         return (
             groups.writeStream.outputMode("update")
@@ -67,7 +74,8 @@ def watch(arrivals: DataFrame, state: str, updates: str):
             .start()
         )
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def latest(spark: SparkSession, updates: str) -> DataFrame:
