@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adledger.llm import byte_bpe, exact_dedup as exact, sharding, token_counts
-from adledger.llm.common import table
+from adledger.llm import byte_bpe, exact_dedup as exact, language, sharding, token_counts
+from adledger.llm.common import fold, table
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,9 +33,16 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 4) == 2
+    found = language.identify(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op4_token_counts": op4_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
+    "op10_language": op10_language,
 }
