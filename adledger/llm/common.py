@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A Python worker gets batches of about this size, whatever the number of rows.
@@ -24,7 +25,7 @@ def small_batches(spark: SparkSession) -> None:
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Cut a batch further, so that one slice holds about ``BATCH_BYTES`` or a single row."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = size = 0
     for i, n in enumerate(lengths):
         if i > start and size + n > BATCH_BYTES:

@@ -30,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -343,7 +344,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, text: str =
         for batch in batches:
             for part in slices(batch, "text"):
                 counts = machine.count([t or "" for t in part.column("text").to_pylist()])
-                sizes = pa.compute.fill_null(pa.compute.binary_length(part.column("text")), 0).cast(pa.int64())
+                sizes = pc.fill_null(pc.binary_length(part.column("text")), 0).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("key"), sizes, pa.array(counts)], ["key", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
