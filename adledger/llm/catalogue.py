@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adledger.llm import byte_bpe, exact_dedup as exact, language, sharding, token_counts
+from adledger.llm import byte_bpe, exact_dedup as exact, html_text, language, sharding, token_counts, toxicity
 from adledger.llm.common import fold, table
 
 
@@ -20,11 +20,21 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 5) == 0
+    found = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -41,7 +51,9 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_toxicity": op2_toxicity,
     "op4_token_counts": op4_token_counts,
+    "op7_html_text": op7_html_text,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
     "op10_language": op10_language,
