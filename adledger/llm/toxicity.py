@@ -22,7 +22,8 @@ from adledger.llm.common import share, slices, small_batches
 
 SAMPLE_ROWS = 12_000  # labelled rows of either label, at most about
 LEXICON_TERMS = 400
-LEXICON_Z = 3.0  # standard errors by which a term's log odds ratio has to exceed 0
+LEXICON_Z = 2.6  # standard errors by which a term's log odds ratio has to exceed 0 ...
+LEXICON_TOP = 0.5  # ... and the share of the most telling term's
 STEMS = (4, 5, 6)  # lengths of the word beginnings in the lexicon
 TREES, DEPTH, RATE, BINS = 60, 3, 0.15, 48
 
@@ -212,12 +213,13 @@ def _terms(text: Column) -> Column:
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     """Log odds ratios of the terms that tell toxic texts apart, from (text, toxic).
 
-    Texts that share their word of least hash count once per label, so that a group of near
-    copies cannot make its own words telling.
+    Texts that share their three words in a row of least hash count once per label, so that a
+    group of near copies cannot make its own words telling.
     """
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 0)
-    family = F.array_min(F.transform(words, lambda w: F.xxhash64(w)))
-    texts = sample.withColumn("family", family).dropDuplicates(["toxic", "family"])
+    rows = sample.withColumn("words", words)
+    in_a_row = F.transform("words", lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)))
+    texts = rows.withColumn("family", F.array_min(in_a_row)).dropDuplicates(["toxic", "family"])
     totals = texts.agg(F.sum("toxic").alias("pos"), F.count("*").alias("n")).first()
     pos, neg = totals.pos or 0, (totals.n or 0) - (totals.pos or 0)
     if not pos or not neg:
@@ -230,8 +232,8 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     ratio = F.log(((F.col("a") + 0.5) / (pos + 1)) / ((F.col("b") + 0.5) / (neg + 1)))
     error = F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
     telling = counts.where("a >= 3").select("term", ratio.alias("weight"), (ratio / error).alias("z"))
-    telling = telling.where(F.col("z") >= LEXICON_Z).orderBy(F.desc("z"), "term").limit(LEXICON_TERMS)
-    return {r.term: r.weight for r in telling.collect()}
+    rows = telling.where(F.col("z") >= LEXICON_Z).orderBy(F.desc("z"), "term").limit(LEXICON_TERMS).collect()
+    return {r.term: r.weight for r in rows if r.z >= LEXICON_TOP * rows[0].z}
 
 
 def _featured(rows: DataFrame, lexicon: dict[str, float]) -> tuple[list, list, list]:
