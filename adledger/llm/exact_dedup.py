@@ -105,7 +105,7 @@ def exact_dedup(docs: DataFrame, digest=lambda sha256: sha256) -> DataFrame:
     groups = stage(latest(spark, f"{folder}/updates"), "groups", path=f"{folder}/groups")
 
     hits = stage(_hits(docs, groups, digest), "hits", path=f"{folder}/hits")
-    split = stage(_collisions(hits), "collisions", path=f"{folder}/collisions")
+    split = stage(_collisions(hits), "collisions", path=f"{folder}/collisions").distinct()
     result = _labelled(arrivals.join(groups, "digest"))
     if split.isEmpty():
         return result
@@ -127,10 +127,11 @@ def _hits(docs: DataFrame, groups: DataFrame, digest) -> DataFrame:
 
 
 def _collisions(hits: DataFrame) -> DataFrame:
-    """Digests with a row whose content differs from the kept row's."""
+    """The digest of every row whose content differs from the kept row's; repeats stay in, so that
+    the join may deal a digest with many rows to several tasks."""
     at_locator = F.struct("points", (-F.col("doc_id")).alias("neg_id"), "file").eqNullSafe(F.col("best"))
     kept = hits.where(at_locator).dropDuplicates(["digest"]).select("digest", F.col("content").alias("held"))
-    return hits.join(kept, "digest").where("content != held").select("digest").distinct()
+    return hits.join(kept, "digest").where("content != held").select("digest")
 
 
 def _by_content(hits: DataFrame) -> DataFrame:
