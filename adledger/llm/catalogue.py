@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adledger.llm import byte_bpe, exact_dedup as exact, html_text, language, packing, sharding, token_counts, toxicity
+from adledger.llm import byte_bpe, exact_dedup as exact, html_text, language, minhash, packing, sharding, token_counts, toxicity
 from adledger.llm.common import fold, table
 
 
@@ -35,6 +35,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op6_minhash": op6_minhash,
     "op7_html_text": op7_html_text,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
