@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adledger.llm import byte_bpe, exact_dedup as exact, html_text, language, minhash, packing, sharding, token_counts, toxicity
+from adledger.llm import byte_bpe, embedding_dedup, exact_dedup as exact, html_text, language, minhash, packing, sharding, token_counts, toxicity
 from adledger.llm.common import fold, table
 
 
@@ -26,6 +26,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer)
@@ -60,6 +64,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
+    "op3_embeddings": op3_embeddings,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
     "op6_minhash": op6_minhash,
