@@ -30,7 +30,7 @@ END = 1
 GROUP = 2_000  # pieces of a group, about
 ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2, 2, 4, 8
 SLACK = 48  # a bin with more free places than this is not well filled
-REMEMBERED = 200_000  # chunks of text in a generation of a worker's memory
+REMEMBERED = 500_000  # chunks of text in a generation of a worker's memory, about 100 MB
 
 
 class Words:
@@ -92,12 +92,13 @@ class Words:
         for chunk, (word, marks) in parts.items():
             recent[chunk] = recent[word] + (recent[marks] if marks else b"")
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Token ids of texts in UTF-8."""
         if len(self.recent) > REMEMBERED:
             self.older, self.recent = self.recent, {}
         found, holes = [], []
         for text in texts:
-            chunks = text.encode().split()
+            chunks = text.split()
             ids = list(map(self.recent.get, chunks))
             found.append(ids)
             at = -1
@@ -127,7 +128,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int =
             for part in slices(batch, "text"):
                 rows = []
                 owner = []
-                for i, ids in enumerate(known.encode([t or "" for t in part.column("text").to_pylist()])):
+                for i, ids in enumerate(known.encode([t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()])):
                     ids = np.append(ids, np.uint32(end))
                     for number, start in enumerate(range(0, len(ids), length)):
                         cut = ids[start : start + length].astype("<u4")
