@@ -121,10 +121,10 @@ def test_word_ids_of_odd_texts(monkeypatch):
     words = packing.Words(WORDS)
     texts = random_texts(2500) + ["It's. 'S, Don'T", "<|endoftext|>. <|ENDOFTEXT|>", "İ?! ß. Σ;"]
     expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
-    assert [i.tolist() for i in words.encode(texts)] == expected
+    assert [i.tolist() for i in words.encode([t.encode() for t in texts])] == expected
     monkeypatch.setattr(packing, "REMEMBERED", 10)
     for _ in range(3):
-        assert [i.tolist() for i in words.encode(texts[:100])] == expected[:100]
+        assert [i.tolist() for i in words.encode([t.encode() for t in texts[:100]])] == expected[:100]
 
 
 def check_packed(rows, texts, length):
