@@ -107,10 +107,14 @@ class Parser:
         self.roots = []
         for name in self.languages:
             table = automaton(self.symbol[read[name]].tolist(), self.symbols)
+            # A letter that the sample lacks is a phrase of its own: one more state, left by any letter.
+            alone = len(table)
+            table = np.vstack([table, np.full((1, self.symbols), -1, np.int32)])
+            begin = np.where(table[0] < 0, alone, table[0])  # where a phrase is after its first letter
+            table[0] = begin
             broken = table < 0
-            table = table + base
-            begin = np.where(broken[0], base, table[0])  # where a new phrase is after its first letter
             table[broken] = np.broadcast_to(begin, table.shape)[broken]
+            table += base
             tables.append(np.where(broken, -1 - table, table).astype(np.int32))  # negative: a phrase ended
             self.roots.append(base)
             base += len(table)

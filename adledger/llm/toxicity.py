@@ -260,7 +260,8 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column) -> tuple[dict[st
     rate = {t: min(1.0, SAMPLE_ROWS / n) for t, n in sizes.items()}
     wanted = F.when(F.col("toxic") == 1, rate.get(1, 0.0)).otherwise(rate.get(0, 0.0))
     drawn = known.where(share("doc_id") < wanted).dropDuplicates(["doc_id"])
-    drawn = drawn.withColumn("weight", 1.0 / wanted)
+    weight = {t: 1 / r for t, r in rate.items()}
+    drawn = drawn.withColumn("weight", F.when(F.col("toxic") == 1, weight.get(1, 1.0)).otherwise(weight.get(0, 1.0)))
     # The drawn ids are bounded by SAMPLE_ROWS, so they can go to every task that reads texts.
     sample = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     part = share(F.concat(F.lit("part"), F.col("doc_id").cast("string")))
