@@ -4,15 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from adledger.functions.parsing import parse
+from adledger.functions.text import day_text
+from adledger.registry import PARTITION
 
 # Key and version column of a daily ad row.
 KEYS = ("ad_id", "date_start", "account_id")
 LATEST = "date_stop"
 
 
+def same_key(rows: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """What makes rows the same: their keys, a day that parses as that day however it is spelled."""
+    out = []
+    for k in keys:
+        if k == PARTITION and isinstance(rows.schema[k].dataType, T.StringType):
+            out.append(F.coalesce(day_text(parse("date", k)), F.col(k)).alias(k))
+        else:
+            out.append(F.col(k))
+    return out
+
+
 def keep_latest(
-    rows: DataFrame, keys: Sequence[str] = KEYS, latest: str = LATEST, order: str = "_seq"
+    rows: DataFrame,
+    keys: Sequence[str] = KEYS,
+    latest: str = LATEST,
+    order: str = "_seq",
+    alone: Column | None = None,
 ) -> DataFrame:
     """One row per key: the greatest ``latest``, on ties the first in ingest order.
 
@@ -24,14 +43,17 @@ def keep_latest(
     version = F.col(latest) if latest in rows.columns else F.lit("")
     if latest in rows.columns and isinstance(rows.schema[latest].dataType, T.StringType):
         version = F.coalesce(version, F.lit(""))
-    keys = [k for k in keys if k in rows.columns]
-    window = Window.partitionBy(*keys).orderBy(version.desc_nulls_last(), F.col(order).asc())
+    same = same_key(rows, [k for k in keys if k in rows.columns])
+    if alone is not None:
+        # Rows for which this holds have no key of their own; each is kept.
+        same.append(F.when(alone, F.col(order)))
+    window = Window.partitionBy(*same).orderBy(version.desc_nulls_last(), F.col(order).asc())
     return rows.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
 def dedup_stats(rows: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Rows in, rows kept, rows removed; counted from the keys alone."""
-    per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    per_key = rows.groupBy(*same_key(rows, keys)).agg(F.count(F.lit(1)).alias("n"))
     n_in, n_out = F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))
     return per_key.agg(
         n_in.alias("n_in"), n_out.alias("n_out"), (n_in - n_out).alias("n_removed")

@@ -10,25 +10,17 @@ from pyspark.errors import AnalysisException
 
 from adledger import registry
 from adledger.functions.text import mapping_key
+from adledger.storage import remove_folder, staged
 
-# The built-in mapping row, and the account that stands for all.
-BUILT_IN = [
-    {
-        "user_friendly_name": "offsite_conversion.fb_pixel_custom",
-        "meta_action_type": "offsite_conversion.fb_pixel_custom",
-        "mapping_type": "pixel",
-        "ad_account_id": "1052847603363129",
-    }
-]
+# Fixed value: the account that stands for all.
 ALL_ACCOUNTS = "all"
+VERSION = "version"
 
-# A dimension is broadcast up to this many bytes of text; beyond it Spark shuffles.
-BROADCAST_BYTES = 64 * 1024 * 1024
 _LOOKUP = ("ad_account_id", "user_friendly_name", "meta_action_type")
 
 
-def standard_mappings(spark: SparkSession, rows: Sequence[dict] = BUILT_IN) -> DataFrame:
-    """The built-in mappings as a relation; they have no conversion id."""
+def standard_mappings(spark: SparkSession, rows: Sequence[dict] = ()) -> DataFrame:
+    """Mappings given by the caller as a relation; they have no conversion id."""
     columns = [f for f in registry.schema_for("kpi_mapping").fields][:4]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns)
     return spark.createDataFrame([tuple(r.get(f.name) for f in columns) for r in rows], schema)
@@ -58,20 +50,46 @@ def origin_counts(mappings: DataFrame) -> DataFrame:
 def refresh(standard: DataFrame, custom: DataFrame | None, path: str, run_ts: datetime) -> dict:
     """Replace the mapping table; without any mapping, nothing is written.
 
-    The counts come from the written table, so that the documents are read once.
+    The mappings are staged first, so the documents are read once and a failing input leaves the
+    table as it was. Then they are published as a new version, a folder of its own. Readers take
+    the latest version, which is there as a whole when its job commits, or not at all. The version
+    before it is kept for readers that have begun; older ones are removed.
     """
-    mappings = all_mappings(standard, custom, run_ts)
-    if mappings.isEmpty():
-        return {"standard": 0, "custom": 0, "total": 0}
+    spark = standard.sparkSession
     columns = registry.schema_for("kpi_mapping").names
-    mappings.select(*columns).write.mode("overwrite").parquet(path)
-    total, built_in = read_mappings(standard.sparkSession, path).count(), standard.count()
-    return {"standard": built_in, "custom": total - built_in, "total": total}
+    with staged(all_mappings(standard, custom, run_ts).select(*columns, "origin"), "kpi-refresh") as mappings:
+        counts = origin_counts(mappings).first().asDict()
+        if not counts["total"]:
+            return counts
+        known = versions(spark, path)
+        version = f"{run_ts:%Y%m%d%H%M%S%f}"
+        mappings.select(*columns).write.mode("overwrite").parquet(f"{path}/{VERSION}={version}")
+        for old in sorted({*known} - {version})[:-1]:
+            remove_folder(spark, f"{path}/{VERSION}={old}")
+    return counts
+
+
+def _all_versions(spark: SparkSession, path: str) -> DataFrame:
+    schema = registry.schema_for("kpi_mapping").add(VERSION, "string")
+    return spark.read.schema(schema).parquet(path)
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """The published versions that are still there, the latest last."""
+    try:
+        rows = _all_versions(spark, path).select(VERSION).distinct().collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(r[0] for r in rows)
 
 
 def read_mappings(spark: SparkSession, path: str) -> DataFrame:
-    """The whole mapping table."""
-    return spark.read.schema(registry.schema_for("kpi_mapping")).parquet(path)
+    """The whole mapping table, as of its latest version."""
+    every = _all_versions(spark, path)
+    latest_version = every.agg(F.max(VERSION)).scalar()
+    return every.where(F.col(VERSION) == latest_version).drop(VERSION)
 
 
 def lookup_columns(spark: SparkSession, path: str) -> DataFrame:
@@ -104,28 +122,19 @@ def latest(mappings: DataFrame) -> DataFrame:
     )
 
 
-def text_bytes(df: DataFrame) -> int:
-    """Bytes of text in a frame: what a broadcast of it would carry."""
-    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) + 16 for c in df.columns), F.lit(0))
-    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
-
-
 def resolve(
     requests: DataFrame,
     mappings: DataFrame,
     account: str = "ad_account_id",
     name: str = "kpi_name",
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the action type: the account's own mapping, else the one for all, else NULL.
 
-    A mapping of the account is final even if its action type is NULL. The dimension is
-    measured first and only broadcast below ``broadcast_bytes``; a larger one is joined by
-    shuffle, where adaptive execution splits names that most requests ask for.
+    A mapping of the account is final even if its action type is NULL. Nothing is hinted:
+    adaptive execution sees the real size of the dimension, broadcasts a small one, and splits
+    names that most requests ask for when it joins by shuffle.
     """
     table = latest(mappings)
-    if text_bytes(table) <= broadcast_bytes:
-        table = F.broadcast(table)
     own, shared = (
         table.select(
             F.col("mapping_key").alias(f"_{n}_key"),

@@ -17,13 +17,11 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from adledger import registry
+from adledger.functions.parsing import parse
 from adledger.operators import validate
 from adledger.registry import LEGACY_KEYS, PARTITION, UPSERT_KEYS
 from adledger.storage import stage, staged
 
-# More days than this in one source are bounded by a range instead of listed.
-_MAX_LISTED_DAYS = 4000
-
 
 # -- table set-up ----------------------------------------------------------------
 
@@ -63,7 +61,7 @@ def clone_schema(spark: SparkSession, source: DataFrame, path: str) -> DataFrame
     return read_table(spark, path, source.schema)
 
 
-def route_table(name: str, dataset: str = "raw_ads") -> str:
+def route_table(name: str, dataset: str = "ads") -> str:
     """A bare table name gets the dataset in front; a qualified one stays."""
     return name if "." in name else f"{dataset}.{name}"
 
@@ -98,10 +96,9 @@ def _source_facts(src: DataFrame, keys: Sequence[str]) -> tuple[int, list, int]:
 
 
 def _on_days(days: list) -> Column:
+    """Exactly the touched days, however many: others are neither read nor rewritten."""
     if not days:
         return F.lit(False)
-    if len(days) > _MAX_LISTED_DAYS:
-        return F.col(PARTITION).between(F.lit(days[0]), F.lit(days[-1]))
     return F.col(PARTITION).isin(days)
 
 
@@ -112,8 +109,7 @@ def _by_day(rows: DataFrame, n_days: int) -> DataFrame:
     whole shuffle partition, and any other day in it would end up in as many small files;
     so there are far more partitions than days, and two days rarely share one.
     """
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.hint("rebalance", max(partitions, 64 * n_days), PARTITION)
+    return rows.hint("rebalance", 64 * n_days, PARTITION)
 
 
 def _overwrite_days(rows: DataFrame, path: str, n_days: int) -> None:
@@ -279,7 +275,7 @@ def existing_records(
     out = target.select(*LEGACY_KEYS)
     for column, wanted in zip(LEGACY_KEYS, (date_starts, date_stops, ad_ids)):
         if isinstance(wanted, DataFrame):
-            wanted = wanted.toDF(column)
+            wanted = wanted.toDF(column).distinct()
             if column == PARTITION:
                 out = _in_day_range(out, wanted)
             out = out.join(wanted, column, "left_semi")
@@ -293,9 +289,12 @@ def split_known(
 ) -> tuple[DataFrame, DataFrame]:
     """New rows whose key exists (updates) and the others (inserts).
 
-    Days of typed existing rows are compared as ``yyyy-MM-dd`` text. A missing key is an
-    insert; those rows skip the join.
+    Days of typed existing rows are compared as ``yyyy-MM-dd`` text, and only days between the
+    first and the last of the new rows are read. A missing key is an insert; those rows skip
+    the join.
     """
+    if PARTITION in keys and isinstance(existing.schema[PARTITION].dataType, T.DateType):
+        existing = _in_day_range(existing, new.select(parse("date", PARTITION).alias(PARTITION)))
     known = existing.select(
         *(
             F.date_format(k, "yyyy-MM-dd").alias(k)

@@ -30,10 +30,12 @@ NOT_LIST = "not_list"
 NOT_OBJECT = "not_object"
 MISSING_KEYS = "missing_keys"
 CAST_FAILED = "transformation_failed"
+NOT_JSON = "not_json"
 REQUIRED = "required"
 
 ISSUES = "array<struct<code:string,field:string,idx:int,value:string>>"
 _HIDDEN = ("_issues", "_bad", "_ok")
+LINE = "_corrupt_record"  # holds a landing line that is not JSON
 
 
 def check(
@@ -175,8 +177,20 @@ def _lost_values(f: registry.Field) -> str:
     return f"CASE WHEN exists({typed}, t -> t.value IS NULL) THEN {lost} ELSE false END"
 
 
+def reject_lines(checked: DataFrame, line: str) -> DataFrame:
+    """Rows whose ``line`` is set are landing lines that are not JSON: that is their one issue."""
+    broken = F.col(line).isNotNull()
+    return checked.withColumns(
+        {
+            "_ok": F.col("_ok") & ~broken,
+            "_bad": F.col("_bad") | broken,
+            "_issues": F.when(broken, F.expr(_issue_list([_issue(NOT_JSON)]))).otherwise(F.col("_issues")),
+        }
+    )
+
+
 def _data_columns(checked: DataFrame) -> list[str]:
-    return [c for c in checked.columns if c not in _HIDDEN and not c.startswith("_typed_")]
+    return [c for c in checked.columns if c not in _HIDDEN and c != LINE and not c.startswith("_typed_")]
 
 
 def typed_columns(checked: DataFrame) -> list[Column]:
@@ -193,8 +207,9 @@ def valid_rows(checked: DataFrame) -> DataFrame:
 
 
 def record_json(checked: DataFrame) -> Column:
-    """The landing row as JSON text, without absent values."""
-    return F.to_json(F.struct(*_data_columns(checked)))
+    """The landing row as JSON text, without absent values; a line that is not JSON as it is."""
+    record = F.to_json(F.struct(*_data_columns(checked)))
+    return F.coalesce(F.col(LINE), record) if LINE in checked.columns else record
 
 
 def invalid_rows(checked: DataFrame, keep: tuple[str, ...] = ("_seq",)) -> DataFrame:

@@ -73,6 +73,12 @@ def scan_date_range(spark, sf_dir):
     return _raw(dedup.keep_latest(landing.project_fields(good)))
 
 
+@query
+def open_range(spark, sf_dir):
+    rows = landing.scan_range(fx.landing_rows(spark, sf_dir), fx.ACCOUNTS, "2024-01-10", "9999-12-31")
+    return _raw(dedup.keep_latest(rows))
+
+
 @query
 def scan_last_30d(spark, sf_dir):
     rows = landing.scan_preset(fx.landing_rows(spark, sf_dir), fx.ACCOUNTS, fx.AS_OF)
@@ -421,7 +427,7 @@ def clone_schema(spark, sf_dir):
 def route_table(spark, sf_dir):
     root = run_folder(spark, "route")
     out = None
-    for name, load in (("meta_ads", 1), ("other_set.meta_ads_test", 2)):
+    for name, load in (("daily", 1), ("other_set.daily_test", 2)):
         routed = upsert.route_table(name)
         path = f"{root}/{routed.replace('.', '/')}"
         upsert.append_rows(fx.valid_load(spark, sf_dir, load), path)
@@ -613,9 +619,37 @@ def validate_only(spark, sf_dir):
     )
 
 
+@query
+def landing_sync(spark, sf_dir):
+    """From JSON lines to the table in one call, with mapping refresh and quarantine."""
+    path = run_folder(spark, "landing")
+    fx.write_landing(spark, sf_dir, path)
+    config = _config(spark, "landing-sync")
+    custom = conversions.custom_mappings(_documents(spark, sf_dir))
+    jobs.sync_landing(spark, config, path, fx.SINCE, fx.UNTIL, custom=custom)
+    return _flat(upsert.read_table(spark, config.path_of(config.table)))
+
+
+@query
+def sync_faults(spark, sf_dir):
+    """Missing and unparsable days and lines that are not JSON are counted and kept."""
+    path = run_folder(spark, "faults")
+    fx.faulty_lines(spark, sf_dir).write.text(path)
+    config = _config(spark, "faults", update_kpis=False)
+    report = jobs.sync_landing(spark, config, path, "2024-01-01", "9999-12-31")
+    kept = spark.read.schema(f"record string, issues {validate.ISSUES}").json(config.quarantine)
+    counts = "total_records", "valid_records", "invalid_records", "corrupt_lines", "processed"
+    return jobs.report_frame(spark, report).select(
+        *counts, kept.agg(F.count(F.lit(1))).scalar().alias("quarantined")
+    )
+
+
 @query
 def run_report(spark, sf_dir):
-    config = _config(spark, "report", quarantine_path=run_folder(spark, "quarantine"))
+    mapping = {"user_friendly_name": "lead", "meta_action_type": "lead", "mapping_type": "standard", "ad_account_id": "all"}
+    config = _config(
+        spark, "report", quarantine_path=run_folder(spark, "quarantine"), standard_mappings=[mapping]
+    )
     custom = conversions.custom_mappings(_documents(spark, sf_dir))
     report = jobs.sync(
         spark, config, fx.landing_rows(spark, sf_dir), as_of=fx.AS_OF, custom=custom

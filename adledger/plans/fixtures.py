@@ -66,6 +66,16 @@ def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads_raw(spark, sf_dir).select("_seq", *RAW_FIELDS, "actions")
 
 
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing lines of the ``ACCOUNTS`` with planted faults: no day, ``n/a`` for one, cut off."""
+    rows = landing_rows(spark, sf_dir).where(F.col("account_id").isin(ACCOUNTS))
+    day = F.when(F.expr("_seq % 97 = 0"), None).when(F.expr("_seq % 101 = 0"), "n/a").otherwise(F.col("date_start"))
+    line = F.to_json(F.struct(*(day.alias(c) if c == "date_start" else F.col(c) for c in (*RAW_FIELDS, "actions"))))
+    cut = F.concat(F.substr(line, F.lit(1), F.lit(20)), F.col("_seq").cast("string"))
+    # Lines keep the order of the rows, which breaks ties.
+    return rows.select("_seq", F.when(F.expr("_seq % 103 = 0"), cut).otherwise(line).alias("value")).coalesce(1).sortWithinPartitions("_seq").select("value")
+
+
 def valid_load(spark: SparkSession, sf_dir: str, load: int | None = None) -> DataFrame:
     """Deduplicated, valid, typed rows in table form: of one load, or of all rows."""
     rows = ads_raw(spark, sf_dir)

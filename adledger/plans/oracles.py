@@ -190,6 +190,7 @@ mappings AS (SELECT *, NULL AS facebook_conversion_id, 'standard' AS origin FROM
 
 ORACLES: dict[str, str] = {
     "scan_date_range": _ads(f"SELECT {_RAW} FROM latest WHERE {_in_range(SINCE, UNTIL)}"),
+    "open_range": _ads(f"SELECT {_RAW} FROM latest WHERE {_in_range('2024-01-10', '9999-12-31')}"),
     "scan_last_30d": _ads(
         f"SELECT {_RAW} FROM latest WHERE account_id IN ({_IN}) AND CAST(date_start AS DATE) "
         f"BETWEEN DATE '{AS_OF}' - 30 AND DATE '{AS_OF}' - 1"
@@ -324,7 +325,7 @@ ORACLES: dict[str, str] = {
         "(SELECT count(*) FROM load1) AS source_rows, CAST(0 AS BIGINT) AS clone_rows FROM columns"
     ),
     "route_table": _ads(
-        "SELECT CASE load_no WHEN 1 THEN 'raw_ads.meta_ads' ELSE 'other_set.meta_ads_test' END AS target, "
+        "SELECT CASE load_no WHEN 1 THEN 'ads.daily' ELSE 'other_set.daily_test' END AS target, "
         "count(*) AS n_rows FROM loads GROUP BY load_no"
     ),
     "quarantine": _ads(
@@ -364,13 +365,25 @@ ORACLES: dict[str, str] = {
     "full_sync": _synced("2024-01-01", "2024-01-30"),
     "incremental_sync": _synced("2024-01-23", "2024-01-30"),
     "date_range_sync": _synced("2024-01-05", UNTIL),
+    "landing_sync": _ads(f"SELECT {_FLAT} FROM latest WHERE ok AND {_in_range(SINCE, UNTIL)}"),
+    "sync_faults": (
+        _WITH.replace(ADS_RAW, f"""SELECT * REPLACE (CASE WHEN seq % 97 = 0 THEN NULL WHEN seq % 101 = 0 THEN 'n/a'
+            ELSE date_start END AS date_start) FROM ({ADS_RAW}) WHERE seq % 103 <> 0 AND account_id IN ({_IN})""")
+        + f""", cut AS (SELECT count(*) AS n FROM ({ADS_RAW}) WHERE seq % 103 = 0 AND account_id IN ({_IN})),
+        seen AS (SELECT ok AND coalesce(date_start, '') <> 'n/a' AS fits FROM latest)
+        SELECT count(*) + any_value(cut.n) AS total_records, count(CASE WHEN fits THEN 1 END) AS valid_records,
+            count(CASE WHEN NOT fits THEN 1 END) + any_value(cut.n) AS invalid_records,
+            any_value(cut.n) AS corrupt_lines, count(CASE WHEN fits THEN 1 END) AS processed,
+            count(CASE WHEN NOT fits THEN 1 END) + any_value(cut.n) AS quarantined
+        FROM seen, cut"""
+    ),
     "validate_only": _ads(
         "SELECT 'completed' AS status, count(*) AS total_records, count(CASE WHEN ok THEN 1 END) AS valid_records, "
         "count(CASE WHEN NOT ok THEN 1 END) AS invalid_records, 'skipped' AS upload_status FROM latest"
     ),
     "run_report": _ads(
         "," + _CUSTOM + "SELECT 'completed' AS status, 'success' AS kpi_status, "
-        "1 + (SELECT count(*) FROM custom) AS mappings, count(*) AS total_records, "
+        "1 + (SELECT count(*) FROM custom) AS mappings, count(*) AS total_records, 0 AS corrupt_lines, "
         "'success' AS validation_status, count(CASE WHEN ok THEN 1 END) AS valid_records, "
         "count(CASE WHEN NOT ok THEN 1 END) AS invalid_records, 'success' AS upload_status, "
         "count(CASE WHEN ok THEN 1 END) AS processed, count(CASE WHEN ok THEN 1 END) AS rows_affected FROM latest"

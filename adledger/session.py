@@ -13,20 +13,27 @@ SETTINGS = {
 }
 
 
-# Bytes a task should handle: small enough to sort in memory with a few tasks per executor.
-TASK_BYTES = 256 * 1024 * 1024
+# Bytes that a map task reads and a shuffle partition holds at large sizes, and that files get.
+MAP_BYTES = 2 * 1024**3
+SHUFFLE_BYTES = 1024**3
+FILE_BYTES = 256 * 1024**2
+SMALL_INPUT = 1024**4
 
 
-def size_for(spark: SparkSession, input_bytes: int) -> None:
-    """Set the number of shuffle partitions and the file sizes for a job's input.
+def size_for(spark: SparkSession, input_bytes: int, shuffled_bytes: int | None = None) -> None:
+    """Set the numbers of tasks and the file sizes for a job.
 
-    The default of 200 partitions would mean half a terabyte per task at 100 TB. Adaptive
-    execution merges partitions that turn out small, so this is an upper bound.
+    ``shuffled_bytes`` is what enters the shuffle after pruning and projection; the input's size
+    stands for it if it is not known. The number of blocks is the product of map tasks and shuffle
+    partitions, so both handle 1 to 2 GB. Adaptive execution merges partitions that turn out small.
     """
-    partitions = max(spark.sparkContext.defaultParallelism, -(-input_bytes // TASK_BYTES))
+    shuffled = input_bytes if shuffled_bytes is None else shuffled_bytes
+    partitions = max(spark.sparkContext.defaultParallelism, -(-shuffled // SHUFFLE_BYTES))
+    # Below a terabyte there are few blocks anyway, and smaller tasks use more machines.
+    split = MAP_BYTES if input_bytes >= SMALL_INPUT else FILE_BYTES
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TASK_BYTES))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(TASK_BYTES))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(FILE_BYTES))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
 
 
 def build_session(master: str | None = None, app: str = "adledger", **conf: str) -> SparkSession:

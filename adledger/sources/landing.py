@@ -41,13 +41,14 @@ def read_landing(
     rows = reader.format(fmt).schema(schema).load(path)
     keep = F.lit(True)
     if accounts is not None:
-        keep = keep & F.col("account_id").isin(list(accounts))
+        # The first test reads the account alone, so it can prune account folders. A line that
+        # is not JSON may have no account of its own.
+        ours = F.col("account_id").isin(list(accounts))
+        keep = keep & (ours | F.col("account_id").isNull()) & (ours | _is_corrupt(rows))
     if since is not None and until is not None:
-        in_range = day_between("date_start", since, until)
-        # The first test reads the day alone, so it can prune day folders; a line that is
-        # not JSON has no day of its own.
-        undated = F.col("date_start").isNull()
-        keep = keep & (in_range | undated) & (in_range | _is_corrupt(rows))
+        # Reads the day alone, so it can prune day folders. Only days known to be out of
+        # range go; a missing or unparsable one, and with it a line that is not JSON, stays.
+        keep = keep & (day_between("date_start", since, until) | day_unknown("date_start"))
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -84,42 +85,49 @@ def day_between(column: str, since: str | date, until: str | date) -> Column:
     text itself goes first: the scan can push it down, the parsed one cannot.
     """
     first, last = as_day(since), as_day(until)
-    in_months = _text_months(F.col(column), first, last)
-    return in_months & parse("date", column).between(F.lit(first), F.lit(last))
-
-
-def _text_months(c: Column, first: date, last: date) -> Column:
-    """A pushable condition implied by the range: month prefixes, or years if it is long."""
-    text = c.cast("string")
-    months = (last.year - first.year) * 12 + last.month - first.month + 1
-    if months > 12:
-        return (text >= f"{first.year:04d}") & (text < f"{last.year + 1:04d}")
-    hit = F.lit(False)
-    for i in range(max(months, 0)):
-        years, month = divmod(first.month - 1 + i, 12)
-        year = f"{first.year + years:04d}"
-        hit = hit | text.startswith(f"{year}-{month + 1:02d}-")
-        if month < 9:
-            hit = hit | text.startswith(f"{year}-{month + 1}-")
-    return hit
+    text = F.col(column).cast("string")
+    # "~" sorts after everything a day is spelled with.
+    in_years = (text >= f"{first.year:04d}-") & (text <= f"{last.year:04d}-~")
+    return in_years & parse("date", column).between(F.lit(first), F.lit(last))
+
+
+def day_unknown(column: str) -> Column:
+    """The day is missing or does not parse, so it is neither in a range nor out of it."""
+    return parse("date", column).isNull()
 
 
 def of_accounts(rows: DataFrame, accounts: Sequence[str] | DataFrame) -> DataFrame:
     """Rows of the given accounts: a list from the caller, or a frame of account ids."""
     if isinstance(accounts, DataFrame):
-        return rows.join(accounts.select("account_id"), "account_id", "left_semi")
+        return rows.join(accounts.select("account_id").distinct(), "account_id", "left_semi")
     return rows.filter(F.col("account_id").isin(list(accounts)))
 
 
 def scan_range(
-    rows: DataFrame, accounts: Sequence[str] | DataFrame, since: str | date, until: str | date
+    rows: DataFrame,
+    accounts: Sequence[str] | DataFrame,
+    since: str | date,
+    until: str | date,
+    keep_unknown: bool = False,
 ) -> DataFrame:
     """Rows of the accounts with a day in the range, each once.
 
+    ``keep_unknown`` also keeps rows whose day is missing or does not parse, and lines that are
+    not JSON, so that the checks see and count them.
     Deduplicating this gives the same as deduplicating ``scan_windows``, whose extra
     copies of boundary days carry the same order and values.
     """
-    return of_accounts(rows.filter(day_between("date_start", since, until)), accounts)
+    keep = day_between("date_start", since, until)
+    if keep_unknown:
+        keep = (keep | day_unknown("date_start")) if "date_start" in rows.columns else F.lit(True)
+    rows = rows.filter(keep)
+    if not keep_unknown or CORRUPT not in rows.columns:
+        return of_accounts(rows, accounts)
+    nobodys = F.col("account_id").isNull() & _is_corrupt(rows)
+    if isinstance(accounts, DataFrame):
+        ours = accounts.select("account_id", F.lit(True).alias("_ours")).distinct()
+        return rows.join(ours, "account_id", "left").filter(F.col("_ours") | nobodys).drop("_ours")
+    return rows.filter(F.col("account_id").isin(list(accounts)) | nobodys)
 
 
 def scan_windows(
@@ -143,10 +151,16 @@ def scan_preset(
     accounts: Sequence[str] | DataFrame,
     as_of: str | date,
     days: int = PRESET_DAYS,
+    keep_unknown: bool = False,
 ) -> DataFrame:
     """Rows of the ``days`` whole days before ``as_of``."""
+    return scan_range(rows, accounts, *preset(as_of, days), keep_unknown)
+
+
+def preset(as_of: str | date, days: int = PRESET_DAYS) -> tuple[date, date]:
+    """The first and last of the ``days`` whole days before ``as_of``."""
     day = as_day(as_of)
-    return scan_range(rows, accounts, day - timedelta(days=days), day - timedelta(days=1))
+    return day - timedelta(days=days), day - timedelta(days=1)
 
 
 def look_back(as_of: str | date, days_back: int = DAYS_BACK) -> tuple[date, date]:

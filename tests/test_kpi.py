@@ -1,4 +1,4 @@
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +31,9 @@ LINES = [
 ]
 
 
+LEAD = {"user_friendly_name": "lead", "meta_action_type": "lead", "mapping_type": "pixel", "ad_account_id": "7"}
+
+
 def test_custom_mappings(spark, folder):
     docs = documents(spark, folder, LINES)
     got = sorted(tuple(r) for r in conversions.custom_mappings(docs).collect() if r[0])
@@ -44,17 +47,31 @@ def test_custom_mappings(spark, folder):
 
 
 def test_refresh_replaces_and_counts(spark, folder):
-    standard = kpi.standard_mappings(spark)
+    standard = kpi.standard_mappings(spark, [LEAD])
     custom = conversions.custom_mappings(documents(spark, folder + "-docs", LINES))
     assert kpi.refresh(standard, custom, folder, TS) == {"standard": 1, "custom": 3, "total": 4}
     assert kpi.refresh(standard, None, folder, TS) == {"standard": 1, "custom": 0, "total": 1}
     row = kpi.read_mappings(spark, folder).first()
     assert (row.mapping_type, row.facebook_conversion_id) == ("pixel", None)
     assert row.last_updated == TS.replace(tzinfo=None)
+    later = [TS + timedelta(days=d) for d in (1, 2, 3)]
+    for ts in later:
+        kpi.refresh(standard, None, folder, ts)
+    assert kpi.read_mappings(spark, folder).count() == 1
+    assert kpi.versions(spark, folder) == [f"{ts:%Y%m%d%H%M%S%f}" for ts in later[1:]]
+
+
+def test_a_failed_refresh_leaves_the_table(spark, folder):
+    standard = kpi.standard_mappings(spark, [LEAD])
+    kpi.refresh(standard, None, folder, TS)
+    broken = standard.withColumn("user_friendly_name", F.raise_error(F.lit("unreadable")).cast("string"))
+    with pytest.raises(Exception, match="unreadable"):
+        kpi.refresh(standard, broken, folder, TS + timedelta(days=1))
+    assert [r.meta_action_type for r in kpi.read_mappings(spark, folder).collect()] == ["lead"]
 
 
 def test_nothing_to_write(spark, folder):
-    none = kpi.standard_mappings(spark, [])
+    none = kpi.standard_mappings(spark)
     assert kpi.refresh(none, None, folder, TS) == {"standard": 0, "custom": 0, "total": 0}
     assert kpi.lookup_columns(spark, folder).count() == 0
 
@@ -62,15 +79,14 @@ def test_nothing_to_write(spark, folder):
 REQUESTS = [("900", "click"), ("901", "click"), ("900", "view"), ("900", "none"), ("900", "nulled"), (None, "click")]
 
 
-@pytest.mark.parametrize("limit", [kpi.BROADCAST_BYTES, 0])
-def test_resolve(spark, limit):
+def test_resolve(spark):
     table = mapping(
         spark,
         [("all", "click", "any"), ("900", "click", "own"), ("all", "view", "any.view"),
          ("900", "nulled", None), ("all", "nulled", "any.nulled")],
     )
     requests = spark.createDataFrame(REQUESTS, "ad_account_id string, kpi_name string")
-    got = kpi.resolve(requests, table, broadcast_bytes=limit)
+    got = kpi.resolve(requests, table)
     assert {(r[0], r[1]): r[2] for r in got.collect()} == dict(
         zip(REQUESTS, ["own", "any", "any.view", None, None, "any"])
     )
@@ -89,7 +105,3 @@ def test_summary_leaves_out_missing_keys(spark):
     )
     assert [tuple(r) for r in kpi.summary(rows).collect()] == [("1", "custom", 2)]
 
-
-def test_text_bytes(spark):
-    df = spark.createDataFrame([("abc", None), ("é", "x")], "a string, b string")
-    assert kpi.text_bytes(df) == 3 + 2 + 1 + 4 * 16

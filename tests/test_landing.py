@@ -1,3 +1,4 @@
+import pytest
 import json
 import os
 
@@ -84,7 +85,15 @@ def test_filters_reach_partitions_and_files(spark, folder):
     flat = folder + "-flat"
     rows.write.parquet(flat)
     plan = plan_of(landing.scan_range(spark.read.parquet(flat), ["1"], "2024-01-01", "2024-01-10"))
-    assert "StringStartsWith(date_start,2024-01-)" in plan and "EqualTo(account_id,1)" in plan
+    assert "GreaterThanOrEqual(date_start,2024-)" in plan and "EqualTo(account_id,1)" in plan
+
+
+@pytest.mark.parametrize("until", ["2024-12-31", "2025-01-31", "9998-12-31", "9999-12-31"])
+def test_open_ranges(spark, until):
+    texts = ["2024-01-05", "2024-6-5", "2024-12-31", None, "n/a"]
+    rows = spark.createDataFrame([("a", t) for t in texts], "account_id string, date_start string")
+    assert landing.scan_range(rows, ["a"], "2024-01-01", until).count() == 3
+    assert landing.scan_range(rows, ["a"], "2024-01-06", until, keep_unknown=True).count() == 4
 
 
 def test_parquet_landing(spark, folder):

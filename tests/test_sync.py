@@ -8,14 +8,17 @@ from adledger.operators.upsert import read_table
 from adledger.operators.validate import check, until_first_error
 from adledger.plans import sync as S
 from adledger.session import size_for
-from adledger.sources.landing import read_landing, split_corrupt
+from adledger.sources.landing import read_landing, scan_range, split_corrupt
 from adledger.storage import run_folder, shared_root
 
+from conftest import plan_of
+
 
 def record(ad, day, **values):
     return {"account_id": "9", "ad_id": ad, "date_start": day, "date_stop": day, **values}
 
 
+LEAD = {"user_friendly_name": "lead", "meta_action_type": "lead", "mapping_type": "pixel", "ad_account_id": "9"}
 RECORDS = [
     record("1", "2024-01-05", clicks="1"),
     record("1", "2024-01-05", clicks="2"),
@@ -35,7 +38,9 @@ def table(spark, cfg):
 
 
 def test_full_sync(spark, rows_of):
-    cfg = config(spark, quarantine_path=run_folder(spark, "q"), run_log_path=run_folder(spark, "log"))
+    cfg = config(
+        spark, quarantine_path=run_folder(spark, "q"), run_log_path=run_folder(spark, "log"), standard_mappings=[LEAD]
+    )
     report = S.sync(spark, cfg, rows_of(RECORDS), as_of="2024-01-31")
     assert report["status"] == "completed"
     assert report["steps"] == {
@@ -104,11 +109,12 @@ def test_range_needs_both_ends(spark, rows_of):
 
 
 def test_tables_and_catalog(spark, rows_of):
-    cfg = config(spark, dataset="sync_ads", kpi_table="sync_ref.kpi", register=True).for_test_table()
-    assert cfg.path_of(cfg.table).endswith("/sync_ads/meta_ads_test")
-    S.sync(spark, cfg, rows_of(RECORDS), as_of="2024-01-31")
-    assert spark.table("sync_ads.meta_ads_test").count() == 2
-    assert spark.table("sync_ref.kpi").count() == 1
+    cfg = config(spark, dataset="sync_ads", kpi_table="sync_ref.kpi", register=True, standard_mappings=[LEAD]).for_test_table()
+    assert cfg.path_of(cfg.table).endswith("/sync_ads/daily_test")
+    for _ in range(2):
+        S.sync(spark, cfg, rows_of(RECORDS), as_of="2024-01-31")
+        assert spark.table("sync_ads.daily_test").count() == 2
+        assert spark.table("sync_ref.kpi").count() == 1
     spark.sql("DROP DATABASE sync_ads CASCADE")
     spark.sql("DROP DATABASE sync_ref CASCADE")
 
@@ -119,10 +125,29 @@ def test_mask_columns(spark):
     assert [tuple(r) for r in got] == [("1234", "***"), (None, None), (None, None)]
 
 
-def test_undated_and_foreign_rows_are_out_of_range(spark, rows_of):
-    rows = rows_of([{"account_id": "9", "ad_id": "1"}, {"ad_id": "1", "date_start": "2024-01-05"}])
-    report = S.sync(spark, config(spark), rows.withColumn("x", F.lit(1)), as_of="2024-01-31")
-    assert report["status"] == "completed_no_data"
+def test_undated_rows_are_checked_and_foreign_ones_left_out(spark, rows_of):
+    rows = rows_of([{"account_id": "9", "ad_id": "1"}, {"ad_id": "1", "date_start": "2024-01-05"}, record("2", "n/a")])
+    cfg = config(spark)
+    report = S.sync(spark, cfg, rows.withColumn("x", F.lit(1)), as_of="2024-01-31")
+    assert report["steps"]["validation"] == {"status": "success", "valid_records": 1, "invalid_records": 1}
+    assert table(spark, cfg) == [("1", None)]
+    issue = spark.read.json(cfg.quarantine).first().issues[0]
+    assert (issue.code, issue.field, issue.value) == ("bad_value", "date_start", "n/a")
+
+
+def test_two_spellings_of_a_day_are_one_row(spark, rows_of):
+    cfg = config(spark)
+    rows = rows_of([record("1", "2024-01-05", clicks="1"), record("1", "2024-1-5", clicks="2")])
+    for _ in range(2):
+        S.sync(spark, cfg, rows, as_of="2024-01-31")
+        assert len(table(spark, cfg)) == 1
+
+
+def test_arguments_are_checked_before_anything_is_written(spark, rows_of):
+    cfg = config(spark, standard_mappings=[LEAD])
+    with pytest.raises(ValueError, match="both its ends"):
+        S.sync(spark, cfg, rows_of(RECORDS), since="2024-01-01")
+    assert not os.path.exists(cfg.root)
 
 
 def test_landing_with_broken_lines(spark, folder):
@@ -133,12 +158,32 @@ def test_landing_with_broken_lines(spark, folder):
     ]
     files = spark.createDataFrame([("9", x) for x in lines], "account_id string, value string")
     files.write.partitionBy("account_id").text(folder)
-    cfg = config(spark, quarantine_path=run_folder(spark, "q"))
-    report = S.sync(spark, cfg, read_landing(spark, folder), as_of="2024-01-31")
-    assert report["steps"]["fetch_insights"] == {"status": "success", "total_records": 2, "corrupt_lines": 1}
-    assert table(spark, cfg) == [("1", 1)]
-    codes = spark.read.json(cfg.quarantine_path).select(F.inline("issues")).collect()
-    assert sorted(r.code for r in codes) == ["bad_value", "not_json"]
+    flat = folder + "-flat"
+    files.select("value").write.text(flat)
+    for path in (folder, flat):
+        cfg = config(spark)
+        report = S.sync_landing(spark, cfg, path, as_of="2024-01-31")
+        assert report["steps"]["fetch_insights"] == {"status": "success", "total_records": 3, "corrupt_lines": 1}
+        assert report["steps"]["validation"]["invalid_records"] == 2
+        assert table(spark, cfg) == [("1", 1)]
+        kept = spark.read.json(cfg.quarantine).select("record", F.inline("issues")).collect()
+        assert sorted(r.code for r in kept) == ["bad_value", "not_json"]
+        assert lines[1] in [r.record for r in kept]
+    frame = spark.createDataFrame([("9",), ("9",)], "account_id string")
+    cfg = S.SyncConfig(root=run_folder(spark, "sync"), accounts=frame, validate=True)
+    assert S.sync_landing(spark, cfg, flat, as_of="2024-01-31")["steps"]["fetch_insights"]["total_records"] == 3
+
+
+def test_one_scan_serves_rows_and_broken_lines(spark, folder):
+    """Folders are pruned by account and day, and no second scan looks for broken lines."""
+    line = '{"ad_id":"1","clicks":"1"}'
+    files = spark.createDataFrame([("9", "2024-01-05", line), ("8", "2024-01-05", line)], "account_id string, date_start string, value string")
+    files.write.partitionBy("account_id", "date_start").text(folder)
+    rows = read_landing(spark, folder, accounts=["9"], since="2024-01-01", until="2024-01-31")
+    plan = plan_of(S.prepared(scan_range(rows, ["9"], "2024-01-01", "2024-01-31", keep_unknown=True)))
+    assert plan.count("Scan json") == 2  # in the tree, and in its details
+    pruned = plan.split("PartitionFilters: ")[1].split("\n")[0]
+    assert "account_id" in pruned and "date_start" in pruned
 
 
 def test_first_error_cut_by_place(spark, folder):
@@ -153,7 +198,7 @@ def test_first_error_cut_by_place(spark, folder):
 def test_size_for(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     size_for(spark, 100 * 1024**4)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "409600"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "102400"
     spark.conf.set("spark.sql.shuffle.partitions", before)
     for key in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"):
         spark.conf.unset(key)
@@ -161,15 +206,17 @@ def test_size_for(spark):
 
 def test_run_by_mode(spark, rows_of):
     cfg, rows = config(spark), rows_of(RECORDS)
-    report = S.run(spark, cfg, rows, "daterange", start="2024-01-01", end="2024-01-31", use_test_table=True)
-    assert report["parameters"]["target_table"] == "meta_ads_test"
-    assert report["parameters"]["date_range"] == {"start": "2024-01-01", "end": "2024-01-31"}
+    request = S.Request("daterange", start="2024-01-01", end="2024-01-31", use_test_table=True)
+    report = S.run(spark, cfg, rows, request)
+    assert report["table"] == "daily_test"
+    assert (report["request"]["start"], report["request"]["end"]) == ("2024-01-01", "2024-01-31")
     assert table(spark, cfg.for_test_table()) == [("1", 1), ("3", None)]
-    report = S.run(spark, cfg, rows, as_of="2024-01-07", days_back=1, dry_run=True, skip_kpi_update=True)
+    request = S.Request(as_of="2024-01-07", days_back=1, dry_run=True, skip_kpi_update=True)
+    report = S.run(spark, cfg, rows, request)
     assert report["steps"]["fetch_insights"]["total_records"] == 2
     assert report["steps"]["upload"] == {"status": "skipped"} == report["steps"]["kpi_mappings"]
-    assert S.run(spark, cfg, rows, "full", as_of="2024-01-31", dry_run=True)["status"] == "completed"
+    assert S.run(spark, cfg, rows, S.Request("full", as_of="2024-01-31", dry_run=True))["status"] == "completed"
     with pytest.raises(ValueError, match="unknown mode"):
-        S.run(spark, cfg, rows, "hourly")
+        S.run(spark, cfg, rows, S.Request("hourly"))
     with pytest.raises(ValueError, match="both its ends"):
-        S.run(spark, cfg, rows, "daterange", start="2024-01-01")
+        S.run(spark, cfg, rows, S.Request("daterange", start="2024-01-01"))

@@ -1,3 +1,6 @@
+import os
+from datetime import date, timedelta
+
 import pytest
 from conftest import plan_of, tree_of
 from pyspark.errors import UnsupportedOperationException
@@ -85,11 +88,19 @@ def test_unknown_columns_are_dropped_at_the_table(spark, folder):
     assert "purchase_roas" not in spark.read.parquet(folder).columns
 
 
-def test_many_days_use_a_range(spark, folder, monkeypatch):
-    monkeypatch.setattr(U, "_MAX_LISTED_DAYS", 1)
+def test_days_in_between_are_left_alone(spark, folder):
+    """Only the touched days are rewritten, however far apart and however many."""
     U.append_rows(typed(spark, [row("1", DAY1), row("1", DAY2, clicks=5), row("1", DAY3)]), folder)
+    files = lambda day: sorted(os.listdir(f"{folder}/date_start={day}"))
+    before = files(DAY2)
     U.upsert(typed(spark, [row("1", DAY1, clicks=7), row("1", DAY3, clicks=8)]), folder)
-    assert [r[4] for r in content(spark, folder)] == ["7", "5", "8"]
+    assert [r[4] for r in content(spark, folder)] == ["7", "5", "8"] and files(DAY2) == before
+
+    first = date(2000, 1, 1)
+    touched = [first + timedelta(days=2 * i) for i in range(4500)]
+    days = spark.range(9000).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("date_start"))
+    got = [r[0] for r in days.filter(U._on_days(touched)).collect()]
+    assert sorted(got) == touched
 
 
 def test_agrees_with_a_dictionary(spark, folder):
@@ -173,7 +184,7 @@ def test_clone_and_register(spark, folder):
 
 
 def test_route_table():
-    assert U.route_table("meta_ads") == "raw_ads.meta_ads"
+    assert U.route_table("daily") == "ads.daily"
     assert U.route_table("a.b") == "a.b"
 
 
