@@ -4,7 +4,7 @@
 2. A table hashes a vector with ``k`` rotations. Each is three rounds of random signs and a fast
    Hadamard transform; its code is the axis the vector lies nearest to, with the sign. A vector
    joins the bucket of its ``k`` codes and the ``PROBES - 1`` next best ones. ``k`` follows the
-   logarithm of the largest label, so that buckets stay small. The number of tables follows from the
+   logarithm of the largest label, from ``LEAST_K`` on, so that buckets stay small. The number of tables follows from the
    rate at which random pairs *at the threshold* share a bucket, measured on ``PAIRS`` of them: the
    chance to miss such a pair is below ``MISS``, and less for closer ones.
 3. Candidates are the pairs of a bucket. All are verified by their cosine in double precision. A
@@ -31,6 +31,7 @@ from adledger.storage import stage
 
 THRESHOLD = 0.93
 PROBES = 4
+LEAST_K = 2  # rotations of a table
 MISS = 2e-5
 PAIRS = 4_000
 BLOCK = 1_500  # members of a block of a large bucket
@@ -222,7 +223,7 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sizes = least.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()
     first = rows.where(sound).select(F.size("embedding").alias("dim")).first()
     dim = first.dim if first else 2
-    k = max(1, round(math.log(max(2, sizes.n or 0)) / math.log(2 * max(2, dim))))
+    k = max(LEAST_K, round(math.log(max(2, sizes.n or 0)) / math.log(2 * max(2, dim))))
     tables = tables_for(dim, k, threshold)
     texts = rows.where(sound).select(F.col("vec_id").cast("long").alias("id"), "label", "embedding", F.xxhash64("embedding").alias("f1"))
     classes = texts.join(least.select("id", "f1", "copies"), ["id", "f1"]).dropDuplicates(["id", "label", "f1"])
