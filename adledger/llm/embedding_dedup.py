@@ -32,7 +32,7 @@ from adledger.storage import stage
 THRESHOLD = 0.93
 PROBES = 4
 LEAST_K = 2  # rotations of a table
-MISS = 2e-5
+MISS = 1e-6
 PAIRS = 4_000
 BLOCK = 1_500  # members of a block of a large bucket
 SMALL = 24  # members of a bucket that is verified along with others
