@@ -29,8 +29,7 @@ class Field:
 
     @property
     def comment(self) -> str:
-        shape = f"{self.kind} per action type" if self.nested else self.kind
-        return f"{self.name.replace('_', ' ')} ({shape})"
+        return _MEANINGS[self.name] + (" Per action type." if self.nested else "")
 
     @property
     def field_class(self) -> str:
@@ -65,6 +64,57 @@ _INT_ACTIONS = (
 # Requested from the source and readable, but not part of the table.
 _READ_ONLY_ACTIONS = "action_values purchase_roas"
 
+_MEANINGS = {
+    "spend": "Money spent on the ad that day, in the account's currency.",
+    "cpc": "Average price of a click of any kind.",
+    "cpm": "Average price of a thousand impressions.",
+    "cpp": "Average price of reaching a thousand people.",
+    "ctr": "Clicks as a percentage of impressions.",
+    "frequency": "How often a person who was reached saw the ad on average.",
+    "unique_ctr": "People who clicked as a percentage of people reached.",
+    "cost_per_unique_click": "Average price of a person who clicked.",
+    "inline_link_click_ctr": "Clicks on the ad's link as a percentage of impressions.",
+    "impressions": "Times that the ad was on a screen.",
+    "reach": "People who saw the ad at least once.",
+    "clicks": "Clicks of any kind on the ad.",
+    "unique_clicks": "People who clicked on the ad.",
+    "inline_link_clicks": "Clicks on the link in the ad.",
+    "date_start": "Day that the row counts; the table's partition.",
+    "date_stop": "Last day that the row counts, the same day in daily rows.",
+    "account_id": "Advertising account, without a prefix.",
+    "account_name": "Name of the advertising account.",
+    "account_currency": "Currency of all money in the row, by its three-letter code.",
+    "ad_id": "The ad.",
+    "ad_name": "Name of the ad.",
+    "adset_id": "Group of ads with one budget and audience that the ad is in.",
+    "adset_name": "Name of the ad's group.",
+    "campaign_id": "Campaign that the group is in.",
+    "campaign_name": "Name of the campaign.",
+    "quality_ranking": "Perceived quality against ads for the same audience.",
+    "engagement_rate_ranking": "Expected engagement against ads for the same audience.",
+    "conversion_rate_ranking": "Expected conversions against ads with the same goal and audience.",
+    "objective": "What the campaign is to achieve.",
+    "optimization_goal": "What delivery of the group is steered by.",
+    "website_ctr": "Clicks through to the website as a percentage of impressions.",
+    "cost_per_action_type": "Average price of an action.",
+    "cost_per_unique_action_type": "Average price of a person who acted.",
+    "actions": "Actions that people took because of the ad.",
+    "unique_actions": "People who acted because of the ad.",
+    "video_play_actions": "Times that the video began to play.",
+    "video_avg_time_watched_actions": "Seconds that the video was watched on average.",
+    "video_p100_watched_actions": "Times that the video was watched to its end.",
+    "video_p25_watched_actions": "Times that a quarter of the video was watched.",
+    "video_p50_watched_actions": "Times that half of the video was watched.",
+    "video_p75_watched_actions": "Times that three quarters of the video were watched.",
+    "video_thruplay_watched_actions": "Times that the video was watched to its end or for fifteen seconds.",
+    "user_friendly_name": "Name that people use for a measure.",
+    "meta_action_type": "Action type that the name stands for in nested columns.",
+    "mapping_type": "Where the mapping is from: standard, custom or pixel.",
+    "ad_account_id": "Account that the mapping is for, or all.",
+    "facebook_conversion_id": "Id of the custom conversion behind the mapping, if any.",
+    "last_updated": "When the mapping was written.",
+}
+
 # Merge keys. The first is the upsert key, the second the older one.
 UPSERT_KEYS = ("account_id", "ad_id", "date_start")
 LEGACY_KEYS = ("date_start", "date_stop", "ad_id")
