@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adledger.llm.common import share, slices, small_batches
+from adledger.storage import stage
 
 SAMPLE_ROWS = 12_000  # labelled rows of either label, at most about
 LEXICON_TERMS = 400
@@ -264,10 +265,11 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column) -> tuple[dict[st
     drawn = drawn.withColumn("weight", F.when(F.col("toxic") == 1, weight.get(1, 1.0)).otherwise(weight.get(0, 1.0)))
     # The drawn ids are bounded by SAMPLE_ROWS, so they can go to every task that reads texts.
     sample = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
-    part = share(F.concat(F.lit("part"), F.col("doc_id").cast("string")))
-    lexicon = learn_lexicon(sample.where(part < 0.5).select("text", F.col("toxic").cast("long").alias("toxic")))
-    fitting = _featured(sample.where((part >= 0.5) & (part < 0.8)), lexicon)
-    holding = _featured(sample.where(part >= 0.8), lexicon)
+    part = share(F.concat(F.lit("part"), F.col("doc_id").cast("string"))).alias("part")
+    sample = stage(sample.select("text", F.col("toxic").cast("long").alias("toxic"), "weight", part), "toxicity-sample")
+    lexicon = learn_lexicon(sample.where("part < 0.5").select("text", "toxic"))
+    fitting = _featured(sample.where("part >= 0.5 and part < 0.8"), lexicon)
+    holding = _featured(sample.where("part >= 0.8"), lexicon)
     return lexicon, Model(*fitting, *holding)
 
 
