@@ -30,7 +30,7 @@ END = 1
 GROUP = 2_000  # pieces of a group, about
 ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2, 2, 4, 8
 SLACK = 48  # a bin with more free places than this is not well filled
-REMEMBERED = 500_000  # chunks of text in a generation of a worker's memory, about 100 MB
+REMEMBERED = 400_000  # chunks of text in a generation of a worker's memory, about 80 MB
 
 
 class Words:
