@@ -94,6 +94,7 @@ _SIBLING = frozenset("p li dt dd tr td th option".split())
 _OUTSIDE_TAGS = frozenset("nav aside footer form dialog menu search button select fieldset head".split())
 _OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
 _COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
+_COMMENT_CLASSES = frozenset("comment reply".split())  # of an article that is itself one
 _OUTSIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner menu menus nav "
     "navbar navigation breadcrumb breadcrumbs masthead footer header sidebar sidebars widget widgets cookie cookies "
@@ -107,17 +108,24 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S,
 )
-_NAMES = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# Attributes one after the other, each with the whole of its value.
+_ATTRIBUTE = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+("[^"]*+"?|'[^']*+'?|[^\s>]++))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 def _kind(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
     """Whether an element makes its content (inside an article, outside of it)."""
-    words, role, gone = set(), "", False
+    words, classes, role, gone = set(), [], "", False
     if attributes:
-        for name, value in _NAMES.findall(attributes):
+        seen = set()
+        for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"' ")
+            if name in seen:  # the first one counts
+                continue
+            seen.add(name)
             if name in ("class", "id"):
+                if name == "class":
+                    classes = value.lower().split()
                 for part in re.split(r"[^A-Za-z]+", value):
                     words.add(part.lower())
                     words.update(w.lower() for w in _WORD.findall(part))
@@ -127,11 +135,19 @@ def _kind(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
                 gone = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 gone = True
-    if gone or words & _COMMENT_WORDS or role in _OUTSIDE_ROLES or tag in _OUTSIDE_TAGS:
+    if gone or role in _OUTSIDE_ROLES or tag in _OUTSIDE_TAGS:
         return False, True
+    # What holds the page or its article is not a comment because a class says that there are some.
     if tag in ("html", "body"):
         return False, False
-    if tag in ("article", "main") or role in ("main", "article"):
+    if tag == "main" or role == "main":
+        return True, False
+    article = tag == "article" or role == "article"
+    if article and not inside and not _COMMENT_CLASSES.intersection(classes):
+        return True, False
+    if words & _COMMENT_WORDS:
+        return False, True
+    if article:
         return True, False
     if tag == "header":
         return False, not inside

@@ -188,6 +188,28 @@ def test_main_text_of_odd_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<p title="Hidden costs">one two three four</p>', "one two three four"),
+        ('<article data-url="/hidden-gems/12"><p>one two</p></article>', "one two"),
+        ("<p title='The hidden valley'>one two three four</p>", "one two three four"),
+        ('<article><p>one <a href="/hidden-gems">two</a> three</p></article>', "one two three"),
+        ("<article><p>one <a href=/hidden/gems>two</a> three</p></article>", "one two three"),
+        ('<article><p data-x="a class=menu id=\'nav\' style=display:none">one two</p></article>', "one two"),
+        ("<article><p>one</p><p class=x hidden>two</p><p hidden=until-found>two</p><p HIDDEN/>two</article>", "one"),
+        ('<article><p title="a"hidden>one</p><p data-hidden hidden-x>two</p></article>', "two"),
+        ('<html class="comments"><body class="single comments-open"><p>one two three four</p></body></html>', "one two three four"),
+        ('<main id="discussion"><p>one two</p></main>', "one two"),
+        ('<article class="post comments-open"><p>one two</p><article class="reply"><p>no</p></article></article>', "one two"),
+        ('<article><p>one</p></article><article class="comment"><p>no, not at all</p></article>', "one"),
+        ('<body class="comments-open"><article><p>one</p></article><div class="comments"><article><p>no</p></article></div>', "one"),
+    ],
+)
+def test_attributes_of_pages(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_tree_knows_its_table():
     table = np.array([line.split() for line in html_text.LABELLED.strip().splitlines()], float)
     got = html_text.classify(html_text.fitted(), table[:, :-1])
