@@ -154,12 +154,13 @@ class Parser:
         np.add.at(out, owner, count.T)
         return out
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """The language with the fewest normalised phrases, and how clearly it wins (0 to 1)."""
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The language with the fewest normalised phrases, how clearly it wins (0 to 1), and
+        whether there is a letter at all, which does not depend on what was learned."""
         counts = self.phrases(texts)
         labels, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if not self.languages:
-            return labels, scores
+            return labels, scores, np.fromiter((len(letters(t)) > 0 for t in texts), bool, len(texts))
         cost = counts / self.need
         # Shares of 1 / cost**4: one half for two languages that fit alike.
         weight = np.where(cost > 0, np.maximum(cost, 1e-9), 1.0) ** -4.0
@@ -168,7 +169,7 @@ class Parser:
         scores[parsed] = (weight[np.arange(len(texts)), best] / weight.sum(axis=1))[parsed]
         for i in np.flatnonzero(parsed):
             labels[i] = self.languages[best[i]]
-        return labels, scores
+        return labels, scores, parsed
 
 
 def learn(docs: DataFrame, training: Column, sample_rows: int = SAMPLE_ROWS) -> tuple[dict[str, str], dict[str, str]]:
@@ -205,20 +206,22 @@ def _parser(samples: tuple, probes: tuple) -> Parser:
 
 
 def predictor(samples: dict[str, str], probes: dict[str, str]):
-    """A function of a text column: struct<lang: string, score: double>."""
+    """A function of a text column: struct<lang: string, score: double, lettered: boolean>."""
     given = tuple(sorted(samples.items())), tuple(sorted(probes.items()))
 
-    @F.arrow_udf("lang string, score double")
+    @F.arrow_udf("lang string, score double, lettered boolean")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         parser = _parser(*given)
         for batch in batches:
-            labels, scores = [], []
+            labels, scores, lettered = [], [], []
             for part in slices(pa.RecordBatch.from_arrays([batch], ["text"]), "text"):
-                found, score = parser.predict([t or "" for t in part.column(0).to_pylist()])
+                found, score, some = parser.predict([t or "" for t in part.column(0).to_pylist()])
                 labels += found
                 scores += score.tolist()
+                lettered += some.tolist()
             yield pa.StructArray.from_arrays(
-                [pa.array(labels, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"]
+                [pa.array(labels, pa.string()), pa.array(scores, pa.float64()), pa.array(lettered, pa.bool_())],
+                ["lang", "score", "lettered"],
             )
 
     return run

@@ -32,10 +32,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unreadable(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents in no language: without text, or without a letter in it."""
+    """Reject documents in no language: without text, or without a letter in it. What could be
+    learned does not matter."""
     small_batches(spark)
     found = language.predictor(*language.learn(docs, fold("doc_id", 4) != 2))
-    return docs.where(found(F.col("text"))["lang"] != language.UNKNOWN)
+    return docs.where(found(F.col("text"))["lettered"])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -278,3 +278,12 @@ def test_pipeline_of_awkward_rows(spark, awkward, nothing, tmp_path):
         step(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/nothing-{name}")
         docs = spark.read.parquet(f"{tmp_path}/nothing-{name}")
     assert docs.count() == 0
+
+
+def test_pipeline_reads_unlabelled_documents(spark, awkward):
+    """Where no language can be learned, or one is called "und", documents with letters stay."""
+    expected = sorted([4, 5, 5, 7, 8, 9, 10, 11, 14, None], key=str)
+    for lang in (F.lit(None).cast("string"), F.lit("und")):
+        left = corpus_pipeline.drop_unreadable(spark, awkward.withColumn("lang", lang), SF_DIR)
+        assert left.columns == awkward.columns
+        assert sorted((r.doc_id for r in left.collect()), key=str) == expected
