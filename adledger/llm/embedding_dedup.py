@@ -6,7 +6,8 @@
    joins the bucket of its ``k`` codes and the ``PROBES - 1`` next best ones. ``k`` follows the
    logarithm of the largest label, from ``LEAST_K`` on, so that buckets stay small. The number of tables follows from the
    rate at which random pairs *at the threshold* share a bucket, measured on ``PAIRS`` of them: the
-   chance to miss such a pair is below ``MISS``, and less for closer ones.
+   chance to miss such a pair is below ``MISS``, and less for closer ones. Both are set for every
+   width of vectors on its own.
 3. Candidates are the pairs of a bucket. All are verified by their cosine in double precision. A
    pair counts in the least of the buckets it shares, so links are counted once without being
    listed: a task hands on, per vector, how many it found and one link towards its group.
@@ -110,19 +111,23 @@ def _unit(raw: list[bytes]) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _hashed(classes: DataFrame, k: int, tables: int) -> DataFrame:
-    """(id, copies, vector, keys) of every class; a key stands for label, width, table and bucket."""
+def _hashed(classes: DataFrame, plan: dict[int, tuple[int, int]]) -> DataFrame:
+    """(id, copies, vector, keys) of every class; a key stands for label, width, table and bucket.
+
+    ``plan`` holds (rotations, tables) by width; vectors of other widths have no keys.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = batch.column("embedding")
             flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            ends = np.cumsum(np.asarray(vectors.value_lengths()))
+            widths = np.asarray(vectors.value_lengths())
+            ends = np.cumsum(widths)
             raw = [v.tobytes() for v in np.split(flat, ends[:-1])] if len(ends) else []
-            keys: list = [None] * len(raw)
-            for width in {len(r) for r in raw}:
-                at = [i for i, r in enumerate(raw) if len(r) == width]
-                found = probes(_unit([raw[i] for i in at]), k, tables).reshape(len(at), -1)
+            keys: list = [[]] * len(raw)
+            for width in set(widths.tolist()) & plan.keys():
+                at = np.flatnonzero(widths == width).tolist()
+                found = probes(_unit([raw[i] for i in at]), *plan[width]).reshape(len(at), -1)
                 for i, row in zip(at, found.view(np.int64).tolist()):
                     keys[i] = row
             columns = [batch.column("id"), batch.column("place"), batch.column("copies"), pa.array(raw, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
@@ -153,7 +158,10 @@ def _verify(table: pa.Table, threshold: float) -> pa.Table:
     copies, own = table.column("copies").to_numpy(), table.column("own").to_numpy()
     apart = bool(table.column("x")[0].as_py() != table.column("y")[0].as_py())
     raw = table.column("vector").to_pylist()
-    keys = np.array(table.column("keys").to_pylist(), np.int64)
+    lists = table.column("keys").to_pylist()
+    most = max(map(len, lists))
+    # Fewer tables go with another width: a key again changes nothing.
+    keys = np.array([k + k[-1:] * (most - len(k)) for k in lists], np.int64)
     vectors = _unit(raw) if len({len(r) for r in raw}) == 1 else None
     first, second = [], []
 
@@ -217,23 +225,27 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.when(sound, F.col("label")).alias("label"),
         F.when(sound, F.xxhash64("embedding")).alias("f1"),
         F.when(sound, F.xxhash64(F.lit("again"), "embedding", F.size("embedding"))).alias("f2"),
+        F.size("embedding").alias("width"),
+    )
+    least = given.where("f1 is not null").groupBy(*prints).agg(
+        F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.min("width").alias("width")
     )
-    least = given.where("f1 is not null").groupBy(*prints).agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     least = stage(least, "vectors-least")
-    sizes = least.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()
-    first = rows.where(sound).select(F.size("embedding").alias("dim")).first()
-    dim = first.dim if first else 2
-    k = max(LEAST_K, round(math.log(max(2, sizes.n or 0)) / math.log(2 * max(2, dim))))
-    tables = tables_for(dim, k, threshold)
+    widths = least.groupBy("label", "width").agg(F.count("*").alias("n")).groupBy("width")
+    widths = widths.agg(F.max("n").alias("most"), F.sum("n").alias("n")).where("most > 1").collect()
+    plan = {}
+    for r in widths:
+        k = max(LEAST_K, round(math.log(r.most) / math.log(2 * max(2, r.width))))
+        plan[r.width] = k, tables_for(r.width, k, threshold)
     texts = rows.where(sound).select(F.col("vec_id").cast("long").alias("id"), "label", "embedding", F.xxhash64("embedding").alias("f1"))
     classes = texts.join(least.select("id", "f1", "copies"), ["id", "f1"]).dropDuplicates(["id", "label", "f1"])
-    hashed = stage(_hashed(classes, k, tables), "vectors-hashed")
+    hashed = stage(_hashed(classes, plan), "vectors-hashed")
 
     bucketed = hashed.select("id", F.explode(F.array_distinct("keys")).alias("key"))
     sizes = bucketed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = bucketed.join(sizes, "key").join(hashed, "id")
     dealt = in_blocks(members, "id", "size", BLOCK, ("key",))
-    chunks = max(1, round(hashed.count() * tables * PROBES / CHUNK))
+    chunks = max(1, round(sum(r.n * plan[r.width][1] for r in widths) * PROBES / CHUNK))
     chunk = F.when(F.col("size") > BLOCK, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(chunks)))
     dealt = dealt.select(chunk.alias("chunk"), "x", "y", "own", "key", "id", "copies", "vector", "keys")
     verified = dealt.groupBy("chunk", "x", "y").applyInArrow(lambda table: _verify(table, threshold), "a long, b long, n long")

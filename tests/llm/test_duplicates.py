@@ -269,6 +269,21 @@ def test_vectors_in_blocks(spark, monkeypatch):
     assert vectors(spark, rows) == expected
 
 
+@pytest.mark.parametrize("short", [[[1.0]], [[1.0], [2.0], [1.0, 2.0], [1.0, 2.1], [5.0] * 130]])
+def test_short_vectors_in_front(spark, short):
+    """Pairs of wide vectors near the threshold are all found, whatever widths come first."""
+    rng = np.random.default_rng(8)
+    x, z = rng.normal(size=(2, 200, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    wide = np.concatenate([x, 0.931 * x + math.sqrt(1 - 0.931**2) * z])
+    rows = [(i, [float(np.float32(c)) for c in v], 1) for i, v in enumerate([*short, *wide])]
+    expected = plain_vectors(rows)
+    assert sum(r[1] for r in expected) >= 400
+    assert vectors(spark, rows) == expected
+
+
 def test_vectors_query(spark):
     frame = spark.read.parquet(f"{SF_DIR}/embeddings.parquet")
     rows = sorted(map(tuple, catalogue.op3_embeddings(spark, SF_DIR).collect()), key=str)
