@@ -15,7 +15,8 @@ which a token may still reach past the end, with the last token before it and th
 the root has the empty beginning only. On a byte, exactly one of these positions ends a token
 that agrees with the token before it (the two stay apart when merged by rank), and so gives the
 last token and the count of the longer text. States are compiled when data first needs them, and
-the table is emptied when it reaches ``MAX_STATES``, so a worker's memory is bounded.
+before the table would pass ``MAX_STATES``, or half of its ``SLOTS``, it is emptied but for the
+states that lanes are in, so a worker's memory is bounded, whatever the length of a text or a piece.
 
 Special strings in a text are cut out beforehand and count as one token each, which is the
 library's default for them.
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from adledger.llm.common import slices, small_batches
 
 MAX_STATES = 300_000
-SLOTS = 1 << 21  # of the transition table; a batch begins with half of them empty
+SLOTS = 1 << 21  # of the transition table; half of them stay empty
 CHUNK = 512  # characters of a splitter chunk
 LANE = 1024  # bytes of a merger lane, at least
 
@@ -163,15 +164,16 @@ class Merger:
             if raw:
                 self.token_at[node] = token
         self.apart: dict[int, bool] = {}
+        # Transitions by state * 256 + byte, in an open-addressing table.
+        self.cells = np.full(SLOTS, -1, np.int64)
+        self.after = np.zeros(SLOTS, np.int32)
+        self.emits = np.zeros(SLOTS, np.int16)
         self.clear()
 
     def clear(self) -> None:
         root = array("i", (0, -1, 0)).tobytes()
         self.states, self.number = [root], {root: 0}
-        # Transitions by state * 256 + byte, in an open-addressing table.
-        self.cells = np.full(SLOTS, -1, np.int64)
-        self.after = np.zeros(SLOTS, np.int32)
-        self.emits = np.zeros(SLOTS, np.int16)
+        self.cells.fill(-1)
         self.filled = 0
 
     def merge(self, ids: list[int]) -> list[int]:
@@ -217,14 +219,26 @@ class Merger:
         token, change = ends
         kept[2::3] = [count - change for count in kept[2::3]]
         key = array("i", (*kept, 0, token, 0)).tobytes()
-        number = self.number.setdefault(key, len(self.states))
-        if number == len(self.states):
-            self.states.append(key)
+        number = self.add(key)
         cell = state << 8 | byte
         slot = int(self.find(np.array([cell]))[0])
         self.cells[slot], self.after[slot], self.emits[slot] = cell, number, change
         self.filled += 1
 
+    def add(self, key: bytes) -> int:
+        """The number of a state."""
+        number = self.number.setdefault(key, len(self.states))
+        if number == len(self.states):
+            self.states.append(key)
+        return number
+
+    def empty(self, state: np.ndarray) -> np.ndarray:
+        """Forget all but the given states; returns their new numbers."""
+        kept, place = np.unique(state, return_inverse=True)
+        keys = [self.states[s] for s in kept.tolist()]
+        self.clear()
+        return np.array([self.add(key) for key in keys], np.int64)[place]
+
     def find(self, cell: np.ndarray) -> np.ndarray:
         """The slot of every transition, or the empty one where it belongs."""
         slot = (cell * 0x9E3779B1 >> 7) & (SLOTS - 1)
@@ -241,11 +255,11 @@ class Merger:
         out = np.zeros(len(raw), np.int16)
         if not len(raw):
             return out
-        if len(self.states) >= MAX_STATES or self.filled >= SLOTS // 2:
-            self.clear()
-        # A lane begins with the first piece after every LANE bytes.
+        # A lane begins with the first piece after every LANE bytes, or more if the lanes would be so
+        # many that one step could fill the table.
+        lane = max(LANE, len(raw) // max(1, min(MAX_STATES, SLOTS // 2) // 4))
         at = np.flatnonzero(begins)
-        lanes = at[np.unique(np.searchsorted(at, np.arange(0, at[-1] + 1, LANE)))]
+        lanes = at[np.unique(np.searchsorted(at, np.arange(0, at[-1] + 1, lane)))]
         lengths = np.diff(np.append(lanes, len(raw)))
         order = np.argsort(-lengths, kind="stable")
         lanes, lengths = lanes[order], lengths[order]
@@ -259,6 +273,11 @@ class Merger:
             slot = self.find(cell)
             missing = np.flatnonzero(self.cells[slot] < 0)
             if len(missing):
+                if len(self.states) + len(missing) > MAX_STATES or self.filled + len(missing) > SLOTS // 2:
+                    state = self.empty(state)
+                    cell = state << 8 | raw[place]
+                    slot = self.find(cell)
+                    missing = np.arange(n)
                 for c in {*cell[missing].tolist()}:
                     self.compile(c >> 8, c & 0xFF)
                 slot[missing] = self.find(cell[missing])

@@ -89,6 +89,19 @@ def test_counts_of_odd_texts(monkeypatch):
     assert machine.count(texts[:300]).tolist() == expected[:300]
 
 
+def test_counts_of_junk_that_overflows_the_table(monkeypatch):
+    """One piece, or many, with more transitions than the table has slots."""
+    monkeypatch.setattr(token_counts, "SLOTS", 1 << 14)
+    monkeypatch.setattr(token_counts, "MAX_STATES", 2000)
+    library = Tokenizer.from_file(BYTES)
+    machine = token_counts.Counter(BYTES)
+    rng = np.random.default_rng(3)
+    junk = lambda n, letters: "".join(rng.choice(list(letters), n))
+    for text in (junk(12_000, "abcdefghijklmnopqrstuvwxyz"), junk(40_000, "abcdefghijklmnopqrstuvwxyz"), junk(60_000, "abcdefgXYZ 1,")):
+        assert machine.count([text]).tolist() == [len(library.encode(text, add_special_tokens=False).ids)]
+        assert machine.merger.filled <= 1 << 13 and len(machine.merger.states) <= 2000
+
+
 def test_scan_composes_maps():
     rng = np.random.default_rng(0)
     maps = rng.integers(0, 10, (37, 10))
