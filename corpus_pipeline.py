@@ -8,7 +8,7 @@ SQL cannot express the stages; the tests compare them with plain versions.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from adledger.llm import exact_dedup as exact, language, minhash, packing, toxicity
 from adledger.llm.common import fold, small_batches, table
@@ -19,9 +19,11 @@ TOXIC = 0.5  # documents that score as much or more are rejected
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Documents but those of the given ids. A row without an id stays."""
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+def _without(docs: DataFrame, gone: DataFrame, sha256: Column) -> DataFrame:
+    """Documents but those that ``gone`` names by doc_id (which may be null) and text_sha256."""
+    gone = gone.select("doc_id", "text_sha256").distinct()
+    same = docs["doc_id"].eqNullSafe(gone["doc_id"]) & (sha256 == gone["text_sha256"])
+    return docs.join(gone, same, "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,21 +42,38 @@ def drop_unreadable(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one of every group of equal texts, and one of rows that repeat in id and text."""
+    """Keep one row of every group of equal texts."""
     labels = stage(exact.exact_dedup(docs), "pipeline-copies")
-    left = _without(docs, labels.where("not kept"))
+    sha256 = exact.sha256_of(exact.normalised(docs["text"]))
+    left = _without(docs, labels.where("not kept"), sha256)
     twice = labels.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if twice.isEmpty():
         return left
+    # Rows of a group that share the id that is kept.
     twice = stage(twice, "pipeline-repeated")
     same = left["doc_id"].eqNullSafe(twice["doc_id"])
-    repeated = left.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    order = Window.partitionBy("doc_id", sha256).orderBy(F.char_length("text").desc(), "text")
+    repeated = left.join(twice, same, "left_semi").withColumn("place_in_group", F.row_number().over(order))
+    repeated = repeated.where("place_in_group = 1").select(docs.columns)
     return left.join(twice, same, "left_anti").unionByName(repeated)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of every group of near copies."""
-    return _without(docs, minhash.near_duplicates(docs).where("not kept"))
+    """Keep the document with the least id of every group of near copies. Texts that share an id, or
+    have none, are documents of their own; those without an id come last."""
+    repeated = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
+    if repeated.isEmpty():
+        gone = minhash.near_duplicates(docs).where("not kept").select("doc_id")
+        return docs.join(gone.distinct(), "doc_id", "left_anti").select(docs.columns)
+    # One number per id and text, in the order of the ids.
+    sha256 = exact.sha256_of(F.coalesce(docs["text"], F.lit("")))
+    rows = docs.select("doc_id", sha256.alias("text_sha256")).distinct()
+    rows = rows.orderBy(F.col("doc_id").asc_nulls_last(), "text_sha256")
+    numbers = stage(rows.withColumn("number", F.monotonically_increasing_id()), "pipeline-numbers")
+    same = docs["doc_id"].eqNullSafe(numbers["doc_id"]) & (sha256 == numbers["text_sha256"])
+    numbered = docs.join(numbers, same).select(numbers["number"].alias("doc_id"), docs["text"])
+    gone = minhash.near_duplicates(numbered).where("not kept").select(F.col("doc_id").alias("number")).distinct()
+    return _without(docs, stage(numbers.join(gone, "number", "left_semi"), "pipeline-near"), sha256)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -287,3 +287,32 @@ def test_pipeline_reads_unlabelled_documents(spark, awkward):
         left = corpus_pipeline.drop_unreadable(spark, awkward.withColumn("lang", lang), SF_DIR)
         assert left.columns == awkward.columns
         assert sorted((r.doc_id for r in left.collect()), key=str) == expected
+
+
+def test_pipeline_decides_per_row(spark):
+    """Copies go row by row where ids repeat or are null, and nothing else goes with them."""
+    base = [f"w{i}" for i in range(100)]
+    a, near_a = " ".join(base), " ".join([*base[:99], "other"])
+    b, near_b = a.replace("w", "b"), near_a.replace("w", "b")
+    rows = [
+        (1, a), (5, a), (5, "only here"), (None, a), (None, "twice without id"), (None, "twice without id"),
+        (None, "once without id"), (6, "q r s"), (6, "q  r s"), (6, None), (7, ""),
+    ]
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, text_sha256 string")
+    left = corpus_pipeline.drop_copies(spark, docs, SF_DIR)
+    assert left.columns == docs.columns
+    expected = [(1, a), (5, "only here"), (None, "twice without id"), (None, "once without id"), (6, "q  r s"), (6, None)]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(expected, key=str)
+
+    rows = [
+        (1, a), (9, near_a), (9, "only here"), (9, b), (20, near_b), (None, near_a), (None, "without id"),
+        (30, "u v w x y z"), (30, "U v w x y z"), (31, None), (31, ""),
+    ]
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, text_sha256 string")
+    left = corpus_pipeline.drop_near_copies(spark, docs, SF_DIR)
+    assert left.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+    one = {(30, "u v w x y z"), (30, "U v w x y z")}
+    assert len(one & {*found}) == 1
+    expected = [(1, a), (9, "only here"), (9, b), (None, "without id"), (31, None), (31, "")]
+    assert [f for f in found if f not in one] == sorted(expected, key=str)
