@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adledger.llm import byte_bpe, embedding_dedup, exact_dedup as exact, html_text, language, minhash, packing, sharding, token_counts, toxicity
+from adledger.llm import byte_bpe, embedding_dedup, exact_dedup as exact, html_text, language, minhash, packing, periodic_runs, sharding, token_counts, toxicity
 from adledger.llm.common import fold, table
 
 
@@ -61,6 +61,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.plant_runs(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = periodic_runs.longest()
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -72,4 +88,5 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sharding": op9_sharding,
     "op10_language": op10_language,
+    "op11_periodic_runs": op11_periodic_runs,
 }
