@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adledger.llm import byte_bpe, embedding_dedup, exact_dedup as exact, html_text, language, minhash, packing, periodic_runs, sharding, token_counts, toxicity
+from adledger.llm import byte_bpe, embedding_dedup, exact_dedup as exact, html_text, language, minhash, packing, periodic_runs, secret_scan, sharding, token_counts, toxicity
 from adledger.llm.common import fold, table
 
 
@@ -77,6 +77,22 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -89,4 +105,5 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_language": op10_language,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_secret_scan": op13_secret_scan,
 }
