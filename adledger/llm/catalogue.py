@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adledger.llm import byte_bpe, embedding_dedup, exact_dedup as exact, html_text, language, minhash, packing, periodic_runs, secret_scan, sharding, token_counts, toxicity
+from adledger.llm import byte_bpe, embedding_dedup, exact_dedup as exact, filter_audit, html_text, language, minhash, packing, periodic_runs, secret_scan, sharding, token_counts, toxicity
 from adledger.llm.common import fold, table
 
 
@@ -77,6 +77,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -105,5 +109,6 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_language": op10_language,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_filter_audit": op12_filter_audit,
     "op13_secret_scan": op13_secret_scan,
 }

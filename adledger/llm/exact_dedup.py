@@ -20,7 +20,7 @@ from adledger.storage import run_folder, stage
 
 # Keyed state on disk. A store is closed when its batch is committed to the shared folder; open,
 # each takes 4 MB of an executor's disk in advance, however little it holds.
-_STATE_SETTINGS = {
+STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -62,8 +62,8 @@ def watch(arrivals: DataFrame, state: str, updates: str):
     def publish(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{updates}/batch={batch}")
 
-    before = {key: spark.conf.get(key, None) for key in _STATE_SETTINGS}
-    for key, value in _STATE_SETTINGS.items():
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
         spark.conf.set(key, value)
     try:
         return (
