@@ -5,19 +5,20 @@
 2. A stream reads all arrival files as available-now micro-batches. A text with a smaller id than
    this one in another document makes this one fail the last filter (``E``). Tasks first combine
    their rows: only the documents with a task's smallest id of a text have a chance to pass, the
-   others are counted as failing at once. State keyed by the text keeps the smallest id so far and
+   others are counted as failing at once. Keyed state keeps every text's smallest id so far and
    what was counted as passing for it. When a smaller id arrives, that is retracted: minus one at the
    earlier mask, plus one at the mask with ``E``. What leaves a batch are changes of part counters.
+   A key of the state is a bucket of about ``BUCKET`` texts by hash, as the cost of a Python call per
+   key is that of hundreds of texts; the number of buckets grows with the documents.
 3. The counters, one per part and mask, hold all that the orders need: a filter removes the documents
    whose mask has its bit and none of a filter before it.
 
-A text with any number of copies reaches its key as one row per task and part. A replayed batch
+A text with any number of copies reaches its bucket as a few rows per task. A replayed batch
 overwrites its own changes. Counters are bounded by parts and masks, not by documents.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from itertools import permutations
 
@@ -32,10 +33,18 @@ from adledger.storage import remove_folder, run_folder, stage
 FILTERS = "ABCDE"  # the last one is that of repeated texts
 REPEATED = 1 << 4
 BATCHES = 4  # micro-batches that the arrivals are dealt to, about
+BUCKET = 2_000  # texts of a key of the state, about
 
 _ORDERS = ",".join("".join(p) for p in permutations(FILTERS))
+COUNTED = ["part", "mask", "good", "toxic"]
+_ROW = ["digest", "id", *COUNTED]
 _CHANGES = "part string, mask int, good int, toxic int, n long"
-_COMBINED = "digest string, id long, part string, mask int, good int, toxic int, n long"
+_COMBINED = f"digest binary, id long, {_CHANGES}"
+_SCHEMA = pa.schema(
+    [("digest", pa.binary()), ("id", pa.int64()), ("part", pa.string())]
+    + [(c, pa.int32()) for c in ("mask", "good", "toxic")]
+    + [("n", pa.int64())]
+)
 
 
 def failures(text: Column) -> Column:
@@ -62,7 +71,7 @@ def arrivals_of(docs: DataFrame, labels: DataFrame, part: str = "source") -> Dat
     rows = docs.select(
         F.col("doc_id").alias("id"),
         F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
-        F.sha2(text.cast("binary"), 256).alias("digest"),
+        F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"),
         failures(text).alias("mask"),
     )
     joined = rows.join(known, rows["id"] == known["doc_id"], "left")
@@ -72,80 +81,73 @@ def arrivals_of(docs: DataFrame, labels: DataFrame, part: str = "source") -> Dat
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with the least id of their text here, equal ones as one; the rest is counted as failing,
-    under no text."""
-    keys = ["digest", "id", "part", "mask", "good", "toxic"]
+    under no text and no id. A row without an id passes for good."""
     for batch in batches:
         rows = batch.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
         rows["n"] = 1
-        nameless = rows["id"].isna()
         first = rows.groupby("digest")["id"].transform("min")
-        sure = ~nameless & (rows["id"] > first).fillna(False).astype(bool)
-        rows.loc[sure, "mask"] |= REPEATED
-        rows.loc[sure | nameless, "digest"] = None
-        rows.loc[sure | nameless, "id"] = None
-        rows = rows.groupby(keys, dropna=False, as_index=False)["n"].sum()
+        later = (rows["id"] > first).fillna(False).astype(bool)
+        settled = later | rows["id"].isna()
+        rows.loc[later, "mask"] |= REPEATED
+        rows.loc[settled, "digest"] = None
+        rows.loc[settled, "id"] = None
+        rows = rows.groupby(_ROW, dropna=False, as_index=False)["n"].sum()
         rows["id"] = rows["id"].astype("Int64")
-        yield pa.RecordBatch.from_pandas(rows[[*keys, "n"]], _combined_schema(), preserve_index=False)
-
-
-def _combined_schema() -> pa.Schema:
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-    return pa.schema(list(zip("digest id part mask good toxic n".split(), kinds)))
+        yield pa.RecordBatch.from_pandas(rows[[*_ROW, "n"]], _SCHEMA, preserve_index=False)
 
 
 def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Changes of the part counters by new rows of one text.
+    """Changes of the part counters by new rows of a bucket's texts.
 
-    The state is the least id so far and the rows that have it, as [part, mask, good, toxic, n].
+    The state is a table of every text's least id so far and its rows, which count as passing.
     """
-    changes: list[tuple] = []
-    least, held = (state.get[0], json.loads(state.get[1])) if state.exists else (None, [])
-    before = least, held
+    held = pa.ipc.open_stream(state.get[0]).read_pandas() if state.exists else None
+    changes = []
     for rows in batches:
-        for row in rows.itertuples(index=False):
-            entry = [row.part, int(row.mask), int(row.good), int(row.toxic), int(row.n)]
-            if least is None or row.id < least:
-                for part, mask, good, toxic, n in held:  # counted as passing; retract that
-                    changes += [(part, mask, good, toxic, -n), (part, mask | REPEATED, good, toxic, n)]
-                least, held = int(row.id), [entry]
-            elif row.id == least:
-                held = [*held, entry]
-            else:
-                changes.append((entry[0], entry[1] | REPEATED, *entry[2:]))
-                continue
-            changes.append(tuple(entry))
-    if (least, held) != before:
-        merged: dict[tuple, int] = {}
-        for *what, n in held:
-            merged[tuple(what)] = merged.get(tuple(what), 0) + n
-        state.update((least, json.dumps([[*what, n] for what, n in sorted(merged.items())])))
-    yield pd.DataFrame(changes, columns=["part", "mask", "good", "toxic", "n"])
-
-
-def watch(arrivals: DataFrame, state: str, changes: str):
+        settled = rows["id"].isna()
+        changes.append(rows.loc[settled, [*COUNTED, "n"]])
+        rows = rows[~settled].astype({"id": "int64"})
+        rows["new"] = True
+        if held is not None:
+            rows = pd.concat([rows, held.assign(new=False)], ignore_index=True)
+        passes = rows["id"] == rows.groupby("digest")["id"].transform("min")
+        changes.append(rows.loc[rows["new"] & passes, [*COUNTED, "n"]])
+        fails = rows.loc[~passes, [*COUNTED, "n", "new"]]
+        # What was counted as passing until now is retracted.
+        changes.append(fails.loc[~fails["new"], [*COUNTED, "n"]].assign(n=lambda r: -r["n"]))
+        changes.append(fails.assign(mask=fails["mask"] | REPEATED)[[*COUNTED, "n"]])
+        held = rows[passes].groupby(_ROW, as_index=False)["n"].sum()
+    if held is not None and len(held):
+        table = pa.Table.from_pandas(held, _SCHEMA, preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        state.update((sink.getvalue().to_pybytes(),))
+    yield pd.concat(changes, ignore_index=True).groupby(COUNTED, as_index=False)["n"].sum()
+
+
+def watch(arrivals: DataFrame, state: str, changes: str, buckets: int):
     """Feed a stream of arrivals to the keyed state; changes of counters go to ``changes`` by batch.
 
-    Returns the running query. Started again with the same folders it goes on where it ended, with
-    all earlier texts known.
+    Returns the running query. Started again with the same folders and as many ``buckets`` it goes
+    on where it ended, with all earlier texts known.
     """
     spark = arrivals.sparkSession
-    keys = ["part", "mask", "good", "toxic"]
-    combined = arrivals.select("id", "part", "digest", "mask", "good", "toxic").mapInArrow(_combine, _COMBINED)
-    # Rows that are settled pass the state by; they have no text and no id.
-    named = combined.where("id is not null").groupBy("digest").applyInPandasWithState(
-        _update, _CHANGES, "least long, held string", "update", GroupStateTimeout.NoTimeout
+    combined = arrivals.select(*_ROW).mapInArrow(_combine, _COMBINED)
+    bucket = F.pmod(F.xxhash64(F.coalesce("digest", F.col("part").cast("binary"))), F.lit(buckets)).alias("bucket")
+    changed = combined.select("*", bucket).groupBy("bucket").applyInPandasWithState(
+        _update, _CHANGES, "texts binary", "update", GroupStateTimeout.NoTimeout
     )
-    settled = combined.where("id is null").select(*keys, "n")
 
     def publish(batch_rows: DataFrame, batch: int) -> None:
-        batch_rows.groupBy(*keys).agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{changes}/batch={batch}")
+        batch_rows.groupBy(*COUNTED).agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{changes}/batch={batch}")
 
     before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
     for key, value in STATE_SETTINGS.items():
         spark.conf.set(key, value)
     try:
-        both = named.unionByName(settled).writeStream.outputMode("update").option("checkpointLocation", state)
-        return both.trigger(availableNow=True).foreachBatch(publish).start()
+        writer = changed.writeStream.outputMode("update").option("checkpointLocation", state)
+        return writer.trigger(availableNow=True).foreachBatch(publish).start()
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
@@ -167,7 +169,7 @@ def counters(docs: DataFrame, labels: DataFrame, part: str = "source", batches:
     empty.write.parquet(f"{folder}/changes/batch=-1")
     files = max(1, -(-len(arrivals.inputFiles()) // batches))
     stream = spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/arrivals")
-    watch(stream, f"{folder}/state", f"{folder}/changes").awaitTermination()
+    watch(stream, f"{folder}/state", f"{folder}/changes", max(1, arrivals.count() // BUCKET)).awaitTermination()
     changes = spark.read.schema(f"{_CHANGES}, batch long").parquet(f"{folder}/changes")
     total = changes.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
     result = stage(total, "filter-counters")

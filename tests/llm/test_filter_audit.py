@@ -104,7 +104,7 @@ def test_smaller_ids_that_arrive_later_retract(spark):
         schema = arrivals.schema
         arrivals.coalesce(1).write.mode("append").parquet(f"{folder}/arrivals")
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/arrivals")
-        filter_audit.watch(stream, f"{folder}/state", f"{folder}/changes").awaitTermination()
+        filter_audit.watch(stream, f"{folder}/state", f"{folder}/changes", 3).awaitTermination()
         changes = spark.read.parquet(f"{folder}/changes")
         counts = changes.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
         so_far = [{"doc_id": r[0], "text": r[1], "source": r[2]} for r in rows[: start + 20]]
@@ -115,7 +115,7 @@ def test_smaller_ids_that_arrive_later_retract(spark):
 
 def test_copies_are_combined_before_the_state(spark):
     """A text with very many copies reaches its key as a few rows."""
-    rows = spark.range(20_000).selectExpr("id", "'p' AS part", "'same' AS digest", "3 AS mask", "0 AS good", "0 AS toxic")
+    rows = spark.range(20_000).selectExpr("id", "'p' AS part", "CAST('same' AS binary) AS digest", "3 AS mask", "0 AS good", "0 AS toxic")
     combined = rows.coalesce(2).mapInArrow(filter_audit._combine, filter_audit._COMBINED)
     assert combined.where("digest is not null").count() <= 10
     assert combined.agg(F.sum("n")).first()[0] == 20_000
