@@ -11,8 +11,8 @@ from adledger.llm.common import fold, table
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
-    return byte_bpe.decode(encoded, ranks, pattern).select(
+    # Encoded and decoded in the same task, so that ids need not travel between two.
+    return byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
