@@ -12,108 +12,116 @@ magnitude each time, so the whole costs little more than its first round.
 
 from __future__ import annotations
 
+import json
 import random
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
+from adledger.llm.byte_bpe import LONG, Pairs, bounds, lists, padded_rows
 from adledger.llm.common import slices, small_batches
 from adledger.storage import stage
 
 LENGTH = 4096
 END = 1
 GROUP = 2_000  # pieces of a group, about
-ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2, 2, 4, 8
+ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2, 2, 4, 24  # generations end at the least number of bins
 SLACK = 48  # a bin with more free places than this is not well filled
-REMEMBERED = 400_000  # chunks of text in a generation of a worker's memory, about 80 MB
+# Characters whose lower case, letters and digits are the same in every library: printable ASCII and
+# the letters of Latin-1. What they make up is cut here, anything else by the tokenizer itself.
+_COMMON = "^[!-~À-ÖØ-öø-ÿ]+$"
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|\n|[^\na-zß-öø-ÿ0-9]+")
 
 
 class Words:
-    """Token ids of texts; chunks between ASCII white space are independent, and remembered."""
+    """Token ids of texts. Chunks between ASCII white space are independent, so every different one
+    of a batch is looked at once; so is every different piece of them, all merged in matrices."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.recent: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def _ask(self, parts: list[bytes]) -> None:
-        """Learn new parts. Words of letters are asked for many at a time and told apart by their
-        last tokens, which end a word."""
-        texts = [p.decode() for p in parts]
-        plain = [i for i, t in enumerate(texts) if t.lower().isalpha()]
-        joined = [" ".join(texts[i] for i in plain[k : k + 500]) for k in range(0, len(plain), 500)]
-        found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        ids = np.array([n for e in found for n in e.ids], np.uint32)
-        ends = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(ends) == len(plain):
-            raw, start = ids.tobytes(), 0
-            for i, end in zip(plain, (4 * ends).tolist()):
-                self.recent[parts[i]] = raw[start:end]
-                start = end
-        else:
-            plain = []
-        rest = sorted({*range(len(parts))}.difference(plain))
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
-            self.recent[parts[i]] = np.array(e.ids, np.uint32).tobytes()
-
-    @staticmethod
-    def _parts(chunk: bytes) -> tuple[bytes, bytes]:
-        """A word and its closing marks, which are tokenized apart; else the chunk and nothing."""
-        word = chunk.rstrip(b".,;:!?")
-        if word.isalnum():
-            return word.lower(), chunk[len(word) :]
-        if len(word) < len(chunk) and word.decode().lower().isalpha():
-            return word, chunk[len(word) :]
-        return chunk, b""
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        """Make sure that ``recent`` has all of these."""
-        recent, older = self.recent, self.older
-        parts, new = {}, set()
-        for chunk in chunks:
-            if chunk in older:
-                recent[chunk] = older[chunk]
-            else:
-                parts[chunk] = pair = self._parts(chunk)
-                new.update(p for p in pair if p and p not in recent)
-        for part in new & older.keys():
-            recent[part] = older[part]
-        self._ask(list(new - recent.keys()))
-        for chunk, (word, marks) in parts.items():
-            recent[chunk] = recent[word] + (recent[marks] if marks else b"")
+        described = json.loads(self.tokenizer.to_str())
+        model, self.special = described["model"], [t["content"] for t in described["added_tokens"]]
+        ids, merges = model["vocab"], [tuple(m) for m in model["merges"]]
+        left, right = (np.array([ids[m[k]] for m in merges]) for k in (0, 1))
+        merged = np.array([ids[a + b] for a, b in merges], np.int32)
+        if not (np.diff(merged) > 0).all():
+            raise ValueError("the ids of merged tokens do not follow the order of the merges")
+        self.pairs = Pairs(left, right, merged)
+        # Printable bytes stand for themselves in such a vocabulary, the others for letters from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in plain]
+        letter = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.inner, self.last = (
+            np.array([ids[letter[b] + end] for b in range(256)], np.int32) for end in ("", model["end_of_word_suffix"])
+        )
+
+    def _merge(self, pieces: pa.Array) -> pa.ListArray:
+        """Ids of pieces, none of them empty."""
+        starts, lengths, data = bounds(pieces)
+        ids = self.inner[data]
+        ids[starts + lengths - 1] = self.last[data[starts + lengths - 1]]
+        short = lengths <= LONG
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))]
+        found += self.pairs.merge_rows(padded_rows(np.flatnonzero(short), starts, lengths, ids))
+        for i in np.flatnonzero(~short).tolist():
+            long = self._ask([pieces[i].as_py()])[0]
+            found.append((np.array([i]), np.array([len(long)]), long))
+        return lists(len(pieces), found)
+
+    def _ask(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids by the tokenizer."""
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _chunks(self, chunks: pa.Array) -> pa.ListArray:
+        """Ids of chunks, none of them empty or with white space."""
+        common = pc.match_substring_regex(chunks, _COMMON).to_numpy(zero_copy_only=False).copy()
+        for token in self.special:
+            common &= ~pc.match_substring(chunks, token).to_numpy(zero_copy_only=False)
+        here, rest = np.flatnonzero(common), np.flatnonzero(~common)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))]
+        if len(here):
+            joined = "\n".join(chunks.take(pa.array(here)).to_pylist()).lower() + "\n"
+            coded = pa.array(_PIECES.findall(joined), pa.string()).dictionary_encode()
+            index = coded.indices.to_numpy()
+            ends = np.flatnonzero(index == pc.index(coded.dictionary, "\n").as_py())
+            merged = self._merge(coded.dictionary)
+            # The line's end, which is no piece, has the size 0.
+            sizes = pc.list_value_length(merged).to_numpy()[index]
+            sizes[ends] = 0
+            total = np.cumsum(sizes)
+            real = np.delete(index, ends)
+            found.append((here, np.diff(total[ends], prepend=0), merged.take(pa.array(real)).flatten().to_numpy()))
+        if len(rest):
+            ids = self._ask(chunks.take(pa.array(rest)).to_pylist())
+            found.append((rest, np.array([len(i) for i in ids], np.int64), np.concatenate(ids)))
+        return lists(len(chunks), found)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Token ids of texts in UTF-8."""
-        if len(self.recent) > REMEMBERED:
-            self.older, self.recent = self.recent, {}
-        found, holes = [], []
-        for text in texts:
-            chunks = text.split()
-            ids = list(map(self.recent.get, chunks))
-            found.append(ids)
-            at = -1
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at + 1)
-                holes.append((ids, at, chunks[at]))
-        self._learn({chunk for _, _, chunk in holes})
-        for ids, at, chunk in holes:
-            ids[at] = self.recent[chunk]
-        return [np.frombuffer(b"".join(ids), np.uint32) for ids in found]
+        if not texts:
+            return []
+        split = [t.split() for t in texts]
+        coded = pa.array(chain.from_iterable(split), pa.binary()).dictionary_encode()
+        known = self._chunks(coded.dictionary.cast(pa.string()))
+        sizes = pc.list_value_length(known).to_numpy()[coded.indices.to_numpy()]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([len(s) for s in split])]
+        flat = known.take(coded.indices).flatten().to_numpy().astype(np.uint32)
+        return np.split(flat, ends[:-1])
 
 
 @lru_cache(maxsize=1)
 def words(path: str) -> Words:
-    """One memory per worker process."""
+    """One vocabulary per worker process."""
     return Words(path)
 
 
@@ -307,18 +315,14 @@ def pack(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     Every piece is 1 to ``length`` long, or the job fails. Equal rows are packed each; an empty
     table gives no rows. Columns named like the added ones, or ``_uid``, are replaced.
     """
-    total = pieces.count()
-    # The deal of the first round; a group's rows are numbered, so that equal rows differ.
-    groups = max(1, round(total / GROUP))
     names = [c for c in pieces.columns if c not in ("sequence_id", "offset", "_uid")]
-    dealt = pieces.select(*names, F.pmod(F.xxhash64(*names), F.lit(groups)).alias("_deal"))
-    number = F.row_number().over(Window.partitionBy("_deal").orderBy(*names))
     checked = F.when(F.col("length").between(1, length), F.col("length")).otherwise(
         F.raise_error(F.lit("a piece does not fit into a sequence")).cast("long")
     )
-    known = stage(
-        dealt.withColumn("_uid", F.shiftleft(F.col("_deal"), 24) + number).drop("_deal").withColumn("length", checked), "packing-pieces"
-    )
+    # Numbers by partition and row; written once, so that they stay what they are.
+    numbered = pieces.select(*names, F.monotonically_increasing_id().alias("_uid")).withColumn("length", checked)
+    known = stage(numbered, "packing-pieces")
+    total = known.count()
     rows = known.select(F.col("_uid").alias("uid"), "length")
     placed, left, left_bins = None, total, None
     for deal in range(1, 64):
@@ -346,4 +350,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: i
     ``tokenizer`` is the path of a tokenizers file on the executors. A null or empty text is a
     piece of one end mark. Repeated rows are packed each. Other columns are not read.
     """
-    return pack(stage(pieces_of(docs, tokenizer, length, end), "packing-tokens"), length)
+    return pack(pieces_of(docs, tokenizer, length, end), length)

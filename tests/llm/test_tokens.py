@@ -7,8 +7,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from adledger.llm import byte_bpe, catalogue, packing, token_counts
@@ -40,18 +42,33 @@ def all_code_points(step=400):
 
 def test_bpe_of_odd_texts(reference):
     words = byte_bpe.vocabulary(RANKS, public_tokenizers.PATTERN)
-    texts = random_texts(1500) + all_code_points() + ["abcd" * 900, "a" * 5000, "漢字" * 900, "x" * 1025, " " * 3000 + "x"]
-    for text, ids in zip(texts, words.encode(texts)):
-        assert ids.tolist() == reference.encode_ordinary(text)
-        assert words.decode(ids.tolist()) == text.encode()
+    texts = random_texts(1500) + all_code_points() + ["abcd" * 900, "a" * 5000, "漢字" * 900, "x" * 1025, " " * 3000 + "x", ""]
+    found = words.encode(texts)
+    assert found.to_pylist() == [reference.encode_ordinary(t) for t in texts]
+    assert words.decode(found).to_pylist() == [t.encode() for t in texts]
+    assert words.decode(found.slice(5, 9)).to_pylist() == [t.encode() for t in texts[5:14]]
 
 
-def test_bpe_memory_turns_over(reference, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "REMEMBERED", 5)
+def test_bpe_merges_long_pieces_in_the_order_of_short_ones(monkeypatch, reference):
+    """The heap and the matrix do the same merges, whatever the length."""
     words = byte_bpe.Vocabulary(RANKS, public_tokenizers.PATTERN)
-    for seed in range(4):
-        texts = random_texts(20, seed % 2)
-        assert [i.tolist() for i in words.encode(texts)] == [reference.encode_ordinary(t) for t in texts]
+    rng = random.Random(3)
+    parts = ["a", "b", "th", "ing", "tion", "er", "é", "漢", "strasse", "q", "zz"]
+    pieces = ["".join(rng.choices(parts, k=rng.randint(1, 700))) for _ in range(60)]
+    expected = [reference.encode_ordinary(p) for p in pieces]
+    assert words.encode(pieces).to_pylist() == expected
+    monkeypatch.setattr(byte_bpe, "LONG", 2)
+    assert words.encode(pieces).to_pylist() == expected
+    monkeypatch.setattr(byte_bpe, "LONG", 1 << 20)
+    assert words.encode(pieces).to_pylist() == expected
+
+
+def test_bpe_of_no_texts_and_null_ids():
+    words = byte_bpe.vocabulary(RANKS, public_tokenizers.PATTERN)
+    assert words.encode([]).to_pylist() == [] and words.encode(["", ""]).to_pylist() == [[], []]
+    ids = pa.array([[100, 200], None, [], [300]], pa.list_(pa.int32()))
+    tokens = words.tokens
+    assert words.decode(ids).to_pylist() == [tokens[100] + tokens[200], b"", b"", tokens[300]]
 
 
 def test_bpe_query(spark, documents, reference):
@@ -129,15 +146,16 @@ def test_counts_of_awkward_rows(awkward, nothing):
     assert token_counts.count_tokens(nothing, BYTES).count() == 0
 
 
-def test_word_ids_of_odd_texts(monkeypatch):
+def test_word_ids_of_odd_texts():
     library = Tokenizer.from_file(WORDS)
     words = packing.Words(WORDS)
     texts = random_texts(2500) + ["It's. 'S, Don'T", "<|endoftext|>. <|ENDOFTEXT|>", "İ?! ß. Σ;"]
     expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert [i.tolist() for i in words.encode([t.encode() for t in texts])] == expected
-    monkeypatch.setattr(packing, "REMEMBERED", 10)
-    for _ in range(3):
-        assert [i.tolist() for i in words.encode([t.encode() for t in texts[:100]])] == expected[:100]
+    assert words.encode([]) == [] and [i.tolist() for i in words.encode([b"", b" \n"])] == [[], []]
+    long = ["a" * 3000, "strasse" * 400, "Ü" * 1500 + "x", "12" * 700, "!?" * 900, "x" * 1024, "<|endoftext|>" * 90]
+    long += ["".join(random.Random(i).choices(["th", "ing", "É", "7", "'s", ".", "tion", "q"], k=600)) for i in range(20)]
+    assert [i.tolist() for i in words.encode([t.encode() for t in long])] == [library.encode(t, add_special_tokens=False).ids for t in long]
 
 
 def check_packed(rows, texts, length):
@@ -161,6 +179,39 @@ def check_packed(rows, texts, length):
     return len(by_sequence)
 
 
+def thirds(count, seed, length=4096):
+    """Sizes of which three each fill a sequence; best fit in falling order does not find that."""
+    rng, out = random.Random(seed), []
+    while len(out) < 3 * count:
+        a, b = (rng.randint(length // 4 + 1, length // 2 - 1) for _ in range(2))
+        if length // 4 < length - a - b < length // 2:
+            out += [a, b, length - a - b]
+    rng.shuffle(out)
+    return out
+
+
+def test_crossover_and_migration_save_sequences(spark):
+    for seed in range(3):
+        sizes = thirds(100, seed)
+        best_fit = len(packing.Solution(sizes, 4096).fit_all(range(len(sizes))).bins)
+        islands = [packing.evolve(sizes, [], i, 4096) for i in (1, 2)]
+        migrated = packing.evolve(sizes, islands, 3, 4096)
+        assert len({*migrated}) <= min(len({*i}) for i in islands) < best_fit
+    pieces = spark.createDataFrame([(n,) for n in sizes], "length long")
+    packed = packing.pack(pieces).groupBy("sequence_id").agg(F.sum("length").alias("n"))
+    assert packed.where("n > 4096").count() == 0 and 100 <= packed.count() < best_fit
+
+
+def test_equal_pieces_are_spread_and_packed_each(spark):
+    """Two thirds of all rows are equal, without an id; no window or number depends on the row."""
+    pieces = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN id END AS doc_id", "CASE WHEN id % 3 = 0 THEN 700L ELSE 1L END AS length")
+    rows = packing.pack(pieces)
+    assert rows.count() == 9000
+    used = rows.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    assert used.where("n <> end or n > 4096").count() == 0
+    assert used.count() <= 601  # five of 700 and what fills up
+
+
 def test_packing_query(spark, documents):
     rows = catalogue.op5_packing(spark, SF_DIR).collect()
     used = check_packed(rows, [(r.doc_id, r.text) for r in documents.collect()], 4096)
