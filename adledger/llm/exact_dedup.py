@@ -7,7 +7,8 @@
    keep with its locator. Spark combines a digest's rows before the shuffle, so that a text with
    any number of copies is one row per task and batch.
 3. Rows that *hit* a digest someone else has are checked byte for byte: the content behind the
-   locator of the kept row is fetched and compared with theirs. Other rows are not compared.
+   locator of the kept row is fetched and compared with theirs, by way of the least and greatest
+   content of a digest, which tasks find before the shuffle. Other rows are not compared.
 4. If a comparison ever fails, all rows of that digest are grouped by their normalised texts
    instead, so a collision changes nothing in the result.
 """
@@ -105,7 +106,7 @@ def exact_dedup(docs: DataFrame, digest=lambda sha256: sha256) -> DataFrame:
     groups = stage(latest(spark, f"{folder}/updates"), "groups", path=f"{folder}/groups")
 
     hits = stage(_hits(docs, groups, digest), "hits", path=f"{folder}/hits")
-    split = stage(_collisions(hits), "collisions", path=f"{folder}/collisions").distinct()
+    split = stage(_collisions(hits), "collisions", path=f"{folder}/collisions")
     result = _labelled(arrivals.join(groups, "digest"))
     if split.isEmpty():
         return result
@@ -127,11 +128,18 @@ def _hits(docs: DataFrame, groups: DataFrame, digest) -> DataFrame:
 
 
 def _collisions(hits: DataFrame) -> DataFrame:
-    """The digest of every row whose content differs from the kept row's; repeats stay in, so that
-    the join may deal a digest with many rows to several tasks."""
+    """Digests with rows whose content differs from that of the kept row, byte by byte.
+
+    The least and the greatest content of a digest are compared with what the locator holds. Tasks
+    reduce their rows to these three before the shuffle, so that no digest is large.
+    """
     at_locator = F.struct("points", (-F.col("doc_id")).alias("neg_id"), "file").eqNullSafe(F.col("best"))
-    kept = hits.where(at_locator).dropDuplicates(["digest"]).select("digest", F.col("content").alias("held"))
-    return hits.join(kept, "digest").where("content != held").select("digest")
+    ends = hits.groupBy("digest").agg(
+        F.min("content").alias("least"),
+        F.max("content").alias("greatest"),
+        F.max(F.when(at_locator, F.col("content"))).alias("held"),
+    )
+    return ends.where("least != held or greatest != held").select("digest")
 
 
 def _by_content(hits: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ new shard takes rows into itself and no other row moves.
 
 Slots (gapless from 0 in each shard) come from two levels of ranks: a window over (shard,
 bucket), plus the sizes of the buckets before it. There are about as many buckets as rows in
-one, so both windows grow with the square root of a shard, and no shard meets in one task.
+one, so both windows grow with the square root of a shard, and no shard meets in one task. Rows
+are dealt to buckets by key and place, so that equal ones are, too.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from adledger.storage import stage
+
 _DIGITS = 12  # hexadecimal digits of a hash in a draw: 48 bits, exact in a double
 
 
@@ -98,8 +101,9 @@ def shard_rows(
     in any order; an empty table gives none. Columns other than key and text are not read.
     """
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    total = rows.count()
-    buckets = max(1, math.isqrt(total // len(tree)))
+    buckets = max(1, math.isqrt(rows.count() // len(tree)))
+    # Equal rows differ by where they were read; written once, so that they keep their bucket.
+    anywhere = F.xxhash64(F.col(key), F.monotonically_increasing_id())
     placed = rows.select(
         F.col(key),
         (F.length(raw) + 1).cast("long").alias("size"),
@@ -107,8 +111,9 @@ def shard_rows(
         F.lit("key").alias("law"),
         shard_of(F.col(key), tree).alias("shard"),
         shard_of(F.col(key), grow(tree)).alias("grown_shard"),
-        F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("_bucket"),
+        F.pmod(anywhere, F.lit(buckets)).alias("_bucket"),
     )
+    placed = stage(placed, "sharding")
     sizes = placed.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

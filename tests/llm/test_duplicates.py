@@ -361,3 +361,17 @@ def test_bad_trees():
         sharding.shard_of(F.lit(1), ())
     with pytest.raises(ValueError):
         sharding.shard_of(F.lit(1), (sharding.EIGHT[0], sharding.EIGHT[0]))
+
+
+def test_a_third_of_all_rows_equal(spark):
+    """Hot texts, ids and rows give the plain results."""
+    rows = [(i if i % 3 else None, "the same text " if i % 3 == 0 else f"text {i % 500}") for i in range(3000)]
+    rows += [(7, "an equal row")] * 1500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = exact_dedup.exact_dedup(docs)
+    groups = {r.text_sha256: r.group_size for r in found.collect()}
+    assert found.count() == len(rows) and {1000, 1500} <= set(groups.values())
+    placed = sharding.shard_rows(docs)
+    per = placed.groupBy("shard").agg(F.count("*").alias("n"), F.count_distinct("slot").alias("slots"), F.max("slot").alias("last"))
+    assert all(r.n == r.slots == r.last + 1 for r in per.collect())
+    assert sum(r.n for r in per.collect()) == len(rows)
