@@ -8,7 +8,7 @@ SQL cannot express the stages; the tests compare them with plain versions.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adledger.llm import exact_dedup as exact, language, minhash, packing, toxicity
 from adledger.llm.common import fold, small_batches, table
@@ -49,12 +49,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     twice = labels.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if twice.isEmpty():
         return left
-    # Rows of a group that share the id that is kept.
+    # Rows of a group that share the id that is kept: the longest text, found by partial aggregates.
     twice = stage(twice, "pipeline-repeated")
     same = left["doc_id"].eqNullSafe(twice["doc_id"])
-    order = Window.partitionBy("doc_id", sha256).orderBy(F.char_length("text").desc(), "text")
-    repeated = left.join(twice, same, "left_semi").withColumn("place_in_group", F.row_number().over(order))
-    repeated = repeated.where("place_in_group = 1").select(docs.columns)
+    order = F.struct(-F.char_length("text"), "text", F.xxhash64(*docs.columns))
+    repeated = left.join(twice, same, "left_semi").groupBy("doc_id", sha256.alias("text_sha256"))
+    repeated = repeated.agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
     return left.join(twice, same, "left_anti").unionByName(repeated)
 
 
