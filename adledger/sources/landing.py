@@ -146,6 +146,28 @@ def scan_windows(
     return scan_range(rows, accounts, since, until).select("*", F.inline(hits))
 
 
+def scan_plan(rows: DataFrame, plan: DataFrame, bin_days: int = 8, deal: int = 16) -> DataFrame:
+    """Rows per window of any plan (``account_id``, ``since``, ``until``): a row comes once for every
+    window of its account that holds its day, with that window.
+
+    An interval join by equal keys: a window is listed under every bin of ``bin_days`` days that it
+    touches, a row has the bin of its day, and the exact ends are compared for what meets. Rows of
+    an account and bin are dealt to ``deal`` tasks, so that a busy account is split; the plan is
+    repeated for that. Rows without a day that parses are in no window. ``since`` and ``until`` of
+    the rows, if any, are replaced.
+    """
+    bin_of = lambda day: F.floor(F.unix_date(day) / F.lit(bin_days))
+    wanted = plan.where("since <= until").select("account_id", "since", "until")
+    bins = F.explode(F.sequence(bin_of(F.col("since")), bin_of(F.col("until")))).alias("_bin")
+    wanted = wanted.select("account_id", "since", "until", bins)
+    wanted = wanted.select("*", F.explode(F.sequence(F.lit(0), F.lit(deal - 1))).alias("_deal"))
+    found = rows.drop("since", "until").withColumn("_day", parse("date", "date_start"))
+    found = found.withColumn("_bin", bin_of(F.col("_day")))
+    found = found.withColumn("_deal", F.pmod(F.xxhash64(ORDER), F.lit(deal)).cast("int"))
+    joined = found.join(wanted, ["account_id", "_bin", "_deal"]).where("_day BETWEEN since AND until")
+    return joined.select(*(c for c in rows.columns if c not in ("since", "until")), "since", "until")
+
+
 def scan_preset(
     rows: DataFrame,
     accounts: Sequence[str] | DataFrame,

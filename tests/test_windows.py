@@ -1,6 +1,8 @@
+import random
 from datetime import date, timedelta
 
 import pytest
+from conftest import tree_of
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -69,3 +71,23 @@ def test_window_scan_deduplicates_to_the_plain_scan(spark, days):
     assert (by_window.count() > plain.count()) == (days < 18)
     kept = keep_latest(by_window).select("_seq").collect()
     assert sorted(kept) == sorted(keep_latest(plain).select("_seq").collect())
+
+
+def test_rows_meet_the_windows_of_any_plan(spark):
+    """Windows of many lengths, overlapping, apart and empty, against a plain search."""
+    rng = random.Random(3)
+    first = date(2024, 1, 1)
+    day = lambda n: first + timedelta(days=n)
+    plan = [(str(rng.randrange(4)), day(a := rng.randrange(-5, 60)), day(a + rng.randrange(-2, 40))) for _ in range(60)]
+    rows = [(i, str(rng.randrange(5)) if i % 3 else "0", rng.choice([str(day(rng.randrange(60))), "2024-1-5", "n/a", None])) for i in range(600)]
+    frame = spark.createDataFrame(rows, "_seq long, account_id string, date_start string")
+    wanted = spark.createDataFrame(plan, "account_id string, since date, until date")
+    found = landing.scan_plan(frame, wanted, bin_days=7, deal=3)
+    got = sorted((r._seq, r.since, r.until) for r in found.collect())
+    days = {"2024-1-5": day(4), "n/a": None, None: None}
+    assert got == sorted(
+        (n, s, u) for n, a, d in rows for b, s, u in plan
+        if a == b and (x := days.get(d) if d in days else D(d)) and s <= x <= u
+    )
+    tree = tree_of(found)
+    assert "NestedLoop" not in tree and "Cartesian" not in tree
