@@ -20,7 +20,10 @@ def same_key(rows: DataFrame, keys: Sequence[str]) -> list[Column]:
     out = []
     for k in keys:
         if k == PARTITION and isinstance(rows.schema[k].dataType, T.StringType):
-            out.append(F.coalesce(day_text(parse("date", k)), F.col(k)).alias(k))
+            # A day in the usual form is its own text; only other spellings are parsed.
+            usual = F.col(k).rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+            other = F.coalesce(day_text(parse("date", k)), F.col(k))
+            out.append(F.when(usual, F.col(k)).otherwise(other).alias(k))
         else:
             out.append(F.col(k))
     return out

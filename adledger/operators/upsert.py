@@ -141,6 +141,14 @@ def overwrite_then_append(first: DataFrame, others: Sequence[DataFrame], path: s
         append_rows(batch, path)
 
 
+def merged(old: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All of ``src``, and the old rows whose key it does not have."""
+    new_keys = src.filter(~_missing(keys)).select(*keys)
+    kept = old.filter(~_missing(keys)).join(new_keys, list(keys), "left_anti").select(*old.columns)
+    # Rows that match nothing stay apart, so that they do not all meet in one join task.
+    return kept.unionByName(old.filter(_missing(keys))).unionByName(src)
+
+
 def upsert(
     src: DataFrame,
     path: str,
@@ -169,13 +177,7 @@ def upsert(
 
     if days:
         old = read_table(spark, path, schema).filter(_on_days(days))
-        incoming = src.filter(F.col(PARTITION).isNotNull())
-        new_keys = src.filter(~_missing(keys)).select(*keys)
-        kept = old.filter(~_missing(keys)).join(new_keys, list(keys), "left_anti")
-        # Kept apart so that they do not all meet in one join task.
-        unmatched = old.filter(_missing(keys))
-        merged = kept.select(*schema.names).unionByName(unmatched).unionByName(incoming)
-        _overwrite_days(merged, path, len(days))
+        _overwrite_days(merged(old, src.filter(F.col(PARTITION).isNotNull()), keys), path, len(days))
     if n_undated:
         append_rows(src.filter(F.col(PARTITION).isNull()), path)
     return {"processed": processed, "rows_affected": processed, "status": "success"}
@@ -211,17 +213,17 @@ def update_only(
     return processed
 
 
-def _in_day_range(target: DataFrame, src: DataFrame) -> DataFrame:
-    """Table rows between the first and the last day of ``src``; prunes folders at run time."""
-    first, last = (src.agg(f(PARTITION)).scalar() for f in (F.min, F.max))
-    return target.filter(F.col(PARTITION).between(first, last))
+def _on_days_of(target: DataFrame, src: DataFrame) -> DataFrame:
+    """Table rows of exactly the days of ``src``, which the calendar bounds; reads its days once."""
+    days = [r[0] for r in src.select(PARTITION).where(F.col(PARTITION).isNotNull()).distinct().collect()]
+    return target.filter(_on_days(sorted(days)))
 
 
 def merge_counts(
     target: DataFrame, src: DataFrame, keys: Sequence[str] = UPSERT_KEYS
 ) -> DataFrame:
     """What a merge would do, from the keys alone: processed, updated, inserted, affected."""
-    known = _in_day_range(target.select(*keys), src)
+    known = _on_days_of(target.select(*keys), src)
     matched = src.select(*keys).join(known, list(keys), "left_semi")
     updated = matched.agg(F.count(F.lit(1))).scalar()
     counts = src.agg(F.count(F.lit(1)).alias("processed"))
@@ -277,7 +279,7 @@ def existing_records(
         if isinstance(wanted, DataFrame):
             wanted = wanted.toDF(column).distinct()
             if column == PARTITION:
-                out = _in_day_range(out, wanted)
+                out = _on_days_of(out, wanted)
             out = out.join(wanted, column, "left_semi")
         else:
             out = out.filter(F.col(column).isin(list(wanted)))
@@ -289,12 +291,13 @@ def split_known(
 ) -> tuple[DataFrame, DataFrame]:
     """New rows whose key exists (updates) and the others (inserts).
 
-    Days of typed existing rows are compared as ``yyyy-MM-dd`` text, and only days between the
-    first and the last of the new rows are read. A missing key is an insert; those rows skip
-    the join.
+    Days of typed existing rows are compared as ``yyyy-MM-dd`` text, and exactly the days of the
+    new rows are read. A missing key is an insert; those rows skip the join. The new rows are
+    stored once, as days, updates and inserts all read them.
     """
+    new = stage(new, "split-source")
     if PARTITION in keys and isinstance(existing.schema[PARTITION].dataType, T.DateType):
-        existing = _in_day_range(existing, new.select(parse("date", PARTITION).alias(PARTITION)))
+        existing = _on_days_of(existing, new.select(parse("date", PARTITION).alias(PARTITION)))
     known = existing.select(
         *(
             F.date_format(k, "yyyy-MM-dd").alias(k)

@@ -23,6 +23,7 @@ from adledger.functions.variants import (
     items_of,
     lacks_keys,
 )
+from adledger.storage import stage
 
 # Issue codes.
 BAD_VALUE = "bad_value"
@@ -225,7 +226,12 @@ def issue_rows(checked: DataFrame, keep: tuple[str, ...] = ("_seq",)) -> DataFra
 
 
 def until_first_error(checked: DataFrame, order: str = "_seq") -> DataFrame:
-    """Rows up to and including the first that fails a check; a failed cast does not cut."""
+    """Rows up to and including the first that fails a check; a failed cast does not cut.
+
+    The checked rows are stored once, so that the place of the cut and the rows before it come from
+    one evaluation; blocks behind the cut are not read where ``order`` is a number.
+    """
+    checked = stage(checked, "first-error")
     first_bad = checked.filter("_bad").agg(F.min(order)).scalar()
     return checked.filter((F.col(order) <= first_bad) | first_bad.isNull())
 

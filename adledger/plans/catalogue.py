@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adledger import registry
 from adledger.functions import text
 from adledger.functions.text import day_text, with_account_prefix, without_account_prefix
-from adledger.operators import dedup, kpi, profile, upsert, validate
-from adledger.plans import fixtures as fx
+from adledger.operators import dedup, kpi, profile, upsert, validate, versions
+from adledger.plans import fixtures as fx, stream
 from adledger.plans import sync as jobs
 from adledger.sources import conversions, landing, windows
-from adledger.storage import run_folder, stage
+from adledger.storage import run_folder, stage, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,6 +124,26 @@ def chunk_scan(spark, sf_dir):
     )
 
 
+@query
+def plan_scan(spark, sf_dir):
+    """Windows of 3 to 7 days, another length for every account, each from its own first day."""
+    rows = fx.landing_rows(spark, sf_dir)
+    days = rows.groupBy("account_id").agg(
+        F.to_date(F.min("date_start")).alias("first"), F.to_date(F.max("date_start")).alias("last")
+    )
+    plans = [
+        windows.account_plan(days.where(F.col("account_id") == a), F.col("first"), F.col("last"), 3 + i)
+        for i, a in enumerate(fx.ACCOUNTS)
+    ]
+    plan = stage(reduce(DataFrame.unionByName, plans), "plan")
+    return landing.scan_plan(rows, plan).select(
+        F.col("_seq").alias("seq"),
+        "account_id",
+        "date_start",
+        *(day_text(F.col(c)).alias(c) for c in ("since", "until")),
+    )
+
+
 @query
 def scan_counts(spark, sf_dir):
     rows = fx.landing_rows(spark, sf_dir)
@@ -229,7 +250,10 @@ def split_invalid(spark, sf_dir):
 
 @query
 def stop_first_error(spark, sf_dir):
-    rows = validate.until_first_error(_checked(spark, sf_dir))
+    # Rows that fail a check are only left in from the middle on; failed casts come before that.
+    middle = fx.table(spark, sf_dir, "events").agg(F.max("event_id") / 2).scalar()
+    checked = _checked(spark, sf_dir).filter((F.col("_seq") > middle) | ~F.col("_bad"))
+    rows = validate.until_first_error(checked)
     return rows.select(F.col("_seq").alias("seq"), F.col("_ok").alias("ok"))
 
 
@@ -350,6 +374,18 @@ def upsert_merge(spark, sf_dir):
     return _flat(upsert.read_table(spark, path))
 
 
+@query
+def upsert_conflict(spark, sf_dir):
+    """Two writers merge parts of the second load with the same version; both parts are kept."""
+    path = run_folder(spark, "versions")
+    versions.upsert(fx.valid_load(spark, sf_dir, 1), path)
+    both = versions.load(spark, path)
+    with staged(fx.valid_load(spark, sf_dir, 2), "writers") as rows:
+        for parity in (0, 1):
+            versions.upsert(rows.filter(F.expr(f"CAST(ad_id AS BIGINT) % 2 = {parity}")), path, base=both)
+    return _flat(versions.read(spark, path))
+
+
 @query
 def upsert_empty(spark, sf_dir):
     path = _loaded(spark, sf_dir, "upsert")
@@ -601,6 +637,17 @@ def incremental_sync(spark, sf_dir):
     )
 
 
+@query
+def stream_sync(spark, sf_dir):
+    """The first load lands and is taken in; then the second one, of which only new files are read."""
+    path, checkpoint = run_folder(spark, "landing"), run_folder(spark, "stream-checkpoint")
+    config = _config(spark, "stream")
+    for load in (1, 2):
+        fx.write_landing(spark, sf_dir, path, load=load)
+        stream.stream_sync(spark, config, path, checkpoint, schema=fx.landing_schema())
+    return _flat(versions.read(spark, config.path_of(config.table)))
+
+
 @query
 def date_range_sync(spark, sf_dir):
     return _synced(

@@ -72,8 +72,9 @@ def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.when(F.expr("_seq % 97 = 0"), None).when(F.expr("_seq % 101 = 0"), "n/a").otherwise(F.col("date_start"))
     line = F.to_json(F.struct(*(day.alias(c) if c == "date_start" else F.col(c) for c in (*RAW_FIELDS, "actions"))))
     cut = F.concat(F.substr(line, F.lit(1), F.lit(20)), F.col("_seq").cast("string"))
-    # Lines keep the order of the rows, which breaks ties.
-    return rows.select("_seq", F.when(F.expr("_seq % 103 = 0"), cut).otherwise(line).alias("value")).coalesce(1).sortWithinPartitions("_seq").select("value")
+    # Files and their lines keep the order of the rows, which breaks ties.
+    lines = rows.select("_seq", F.when(F.expr("_seq % 103 = 0"), cut).otherwise(line).alias("value"))
+    return lines.repartitionByRange("_seq").sortWithinPartitions("_seq").select("value")
 
 
 def valid_load(spark: SparkSession, sf_dir: str, load: int | None = None) -> DataFrame:
@@ -85,17 +86,19 @@ def valid_load(spark: SparkSession, sf_dir: str, load: int | None = None) -> Dat
     return registry.conform(valid_rows(check(keep_latest(rows))))
 
 
-def write_landing(spark: SparkSession, sf_dir: str, path: str, faults: bool = False) -> None:
-    """A newline-JSON landing zone with a folder per account.
+def write_landing(spark: SparkSession, sf_dir: str, path: str, faults: bool = False, load: int | None = None) -> None:
+    """A newline-JSON landing zone with a folder per account, or one more load of it.
 
     With ``faults``, some lines of account 904 are cut off in the middle.
     """
     rows = ads_raw(spark, sf_dir)
+    if load is not None:
+        rows = rows.filter(F.col("load_no") == load)
     line = F.to_json(F.struct("_seq", *(c for c in RAW_FIELDS if c != "account_id"), "actions"))
     if faults:
         cut = (F.col("account_id") == "904") & (F.col("_seq") % 97 == 0)
         line = F.when(cut, F.substr(line, F.lit(1), F.lit(20))).otherwise(line)
-    rows.select("account_id", line.alias("value")).write.partitionBy("account_id").text(path)
+    rows.select("account_id", line.alias("value")).write.mode("append").partitionBy("account_id").text(path)
 
 
 def landing_schema() -> T.StructType:

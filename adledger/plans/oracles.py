@@ -120,7 +120,7 @@ UNION ALL SELECT seq, CASE WHEN json_type(item) <> 'OBJECT' THEN 'not_object' EL
 """
 _LOST = "SELECT seq, 'transformation_failed', NULL, NULL, NULL FROM judged WHERE NOT bad AND NOT ok"
 
-_FIRST_BAD = "(SELECT min(seq) FROM judged WHERE bad)"
+_LATE = "seq > (SELECT max(event_id) / 2 FROM events)"
 
 _MATCHED = f"(SELECT count(*) FROM load2 s WHERE EXISTS (SELECT 1 FROM load1 t WHERE {_SAME_KEY}))"
 
@@ -203,6 +203,13 @@ ORACLES: dict[str, str] = {
     f"plan AS ({_windows(5)}) "
     "SELECT account_id, CAST(s AS VARCHAR) AS since, CAST(e AS VARCHAR) AS until FROM plan",
     "chunk_scan": _ads(f"{_CHUNK_SCAN} SELECT * FROM hits"),
+    "plan_scan": _ads(
+        ", days AS (SELECT account_id AS acc, CAST(account_id AS INT) - 898 AS step, CAST(min(date_start) AS DATE) AS first, "
+        "CAST(max(date_start) AS DATE) AS last FROM ads GROUP BY account_id), plan AS (SELECT acc, step, last, "
+        "CAST(unnest(generate_series(first, last, to_days(step))) AS DATE) AS s FROM days) "
+        "SELECT seq, account_id, date_start, CAST(s AS VARCHAR) AS since, CAST(least(s + step, last) AS VARCHAR) AS until "
+        f"FROM ads JOIN plan ON account_id = acc AND CAST(date_start AS DATE) BETWEEN s AND least(s + step, last) WHERE acc IN ({_IN})"
+    ),
     "scan_counts": _ads(
         f"{_CHUNK_SCAN} SELECT account_id, since, count(*) AS n_rows FROM hits GROUP BY account_id, since"
     ),
@@ -247,7 +254,8 @@ ORACLES: dict[str, str] = {
         "FROM latest l WHERE NOT l.ok"
     ),
     "stop_first_error": _ads(
-        f"SELECT seq, ok FROM judged WHERE seq <= {_FIRST_BAD} OR {_FIRST_BAD} IS NULL"
+        f", late AS (SELECT * FROM judged WHERE NOT bad OR {_LATE}) SELECT seq, ok FROM late "
+        "WHERE seq <= (SELECT min(seq) FROM late WHERE bad) OR (SELECT min(seq) FROM late WHERE bad) IS NULL"
     ),
     "validation_counts": _ads(
         "SELECT count(*) AS total_records, count(CASE WHEN ok THEN 1 END) AS valid_records, "
@@ -297,6 +305,8 @@ ORACLES: dict[str, str] = {
     "profile_summary": "SELECT count(*) AS total_records, 'seq,account_id,ad_id,date_start,date_stop,"
     "impressions,clicks,spend,actions' AS sample_record_keys FROM events",
     "upsert_merge": _upserted("SELECT * FROM load2"),
+    "upsert_conflict": _upserted("SELECT * FROM load2"),
+    "stream_sync": _upserted("SELECT * FROM load2"),
     "upsert_empty": _ads(f"SELECT {_FLAT}, 'no_records' AS status FROM load1"),
     "merge_counts": _ads(
         f"SELECT count(*) AS processed, {_MATCHED} AS updated, count(*) - {_MATCHED} AS inserted, "
