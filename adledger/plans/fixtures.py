@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from adledger import registry
@@ -86,7 +88,7 @@ def valid_load(spark: SparkSession, sf_dir: str, load: int | None = None) -> Dat
     return registry.conform(valid_rows(check(keep_latest(rows))))
 
 
-def write_landing(spark: SparkSession, sf_dir: str, path: str, faults: bool = False, load: int | None = None) -> None:
+def write_landing(spark: SparkSession, sf_dir: str, path: str, faults: bool = False, load: int | None = None, packed: bool = False) -> None:
     """A newline-JSON landing zone with a folder per account, or one more load of it.
 
     With ``faults``, some lines of account 904 are cut off in the middle.
@@ -98,7 +100,16 @@ def write_landing(spark: SparkSession, sf_dir: str, path: str, faults: bool = Fa
     if faults:
         cut = (F.col("account_id") == "904") & (F.col("_seq") % 97 == 0)
         line = F.when(cut, F.substr(line, F.lit(1), F.lit(20))).otherwise(line)
-    rows.select("account_id", line.alias("value")).write.mode("append").partitionBy("account_id").text(path)
+    rows.select("account_id", line.alias("value")).write.mode("append").option("compression", "gzip" if packed else "none").partitionBy("account_id").text(path)
+
+
+def write_cut_file(spark: SparkSession, path: str, account: str, values: list[str]) -> None:
+    """One more compressed file of an account, that ends in the middle."""
+    whole = gzip.compress("\n".join(values).encode())
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/account_id={account}/part-cut.txt.gz")
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    out.write(whole[: len(whole) // 2])
+    out.close()
 
 
 def landing_schema() -> T.StructType:

@@ -220,6 +220,9 @@ ORACLES: dict[str, str] = {
         f"FROM (SELECT unnest([{_IN}, '999']) AS a) w LEFT JOIN "
         "(SELECT account_id, account_id = '904' AND seq % 97 = 0 AS cut FROM ads) r ON a = account_id GROUP BY a"
     ),
+    "scan_skips_bad_file": _ads(
+        "SELECT account_id, count(*) AS n_rows, CAST(account_id = '904' AS BIGINT) AS files_skipped FROM ads GROUP BY account_id"
+    ),
     "incremental_window": _ads(
         f"SELECT {_RAW} FROM ads WHERE {_in_range('2024-01-23', '2024-01-30')}"
     ),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 from datetime import date, timedelta
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from adledger import registry
@@ -24,9 +27,12 @@ def read_landing(
     accounts: Sequence[str] | None = None,
     since: str | date | None = None,
     until: str | date | None = None,
+    skip_files: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of a landing zone with an ingest-order column ``_seq``.
 
+    ``skip_files`` (see ``unreadable``) are not opened.
+
     Filters are applied below the order column, so that they still prune the
     ``account_id=…/date_start=…`` folders and reach the file scan. Lines that are not
     JSON come back with ``_corrupt_record`` set (see ``split_corrupt``). ``_seq`` is the
@@ -40,6 +46,8 @@ def read_landing(
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     rows = reader.format(fmt).schema(schema).load(path)
     keep = F.lit(True)
+    if skip_files:
+        keep = ~F.col("_metadata.file_path").isin(list(skip_files))
     if accounts is not None:
         # The first test reads the account alone, so it can prune account folders. A line that
         # is not JSON may have no account of its own.
@@ -59,6 +67,70 @@ def read_landing(
     return rows.filter(keep).withColumn(ORDER, place)
 
 
+LEDGER = "path string, length long, modified timestamp, readable boolean, error string"
+MOST_UNREADABLE = 10_000
+
+
+def _fault(path: str, content: bytes) -> str | None:
+    """What keeps a file from being read to its end; None if nothing does."""
+    try:
+        if path.endswith(".gz"):
+            unpack = zlib.decompressobj(wbits=31)
+            for start in range(0, len(content), 1 << 20):
+                part = content[start : start + (1 << 20)]
+                while part:  # a file may have several members
+                    unpack.decompress(part)
+                    part = unpack.unused_data
+                    if part:
+                        unpack = zlib.decompressobj(wbits=31)
+            return None if unpack.eof or not content else "the compressed data end too early"
+        if path.endswith(".parquet"):
+            for _ in pq.ParquetFile(pa.BufferReader(content)).iter_batches(batch_size=4096):
+                pass
+    except NotImplementedError:
+        return None  # a type that this check does not know
+    except Exception as error:
+        return f"{type(error).__name__}: {error}"[:500]
+    return None
+
+
+def file_ledger(spark: SparkSession, path: str, known: DataFrame | None = None) -> DataFrame:
+    """Every file below ``path`` (a row of ``LEDGER``), and whether it can be read to its end.
+
+    Compressed text and Parquet are tried, one file at a time in its task, as a scan that meets a
+    broken file stops all accounts, and one that ignores it does not say so. Files that ``known``
+    (an earlier ledger) has with the same length and time are not read again. Other files count as
+    readable: what is wrong in plain text is wrong in lines.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    name = F.col("_metadata.file_path").alias("path")
+    listed = files.select(name, "length", F.col("modificationTime").alias("modified"))
+    old = spark.createDataFrame([], LEDGER) if known is None else known
+    same = ["path", "length", "modified"]
+    fresh = files.select(name, "length", F.col("modificationTime").alias("modified"), "content")
+    fresh = fresh.where(F.col("path").rlike("[.](gz|parquet)$")).join(old.select(*same), same, "left_anti")
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                error = _fault(row.column("path")[0].as_py(), row.column("content")[0].as_py())
+                columns = [*(row.column(c) for c in same), pa.array([error is None]), pa.array([error], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [*same, "readable", "error"])
+
+    tried = fresh.mapInArrow(probe, LEDGER).unionByName(old)
+    found = listed.join(tried, same, "left")
+    return found.select(*same, F.coalesce("readable", F.lit(True)).alias("readable"), "error")
+
+
+def unreadable(ledger: DataFrame) -> list[str]:
+    """The files to leave out. More than ``MOST_UNREADABLE`` are an error of the landing zone."""
+    paths = [r.path for r in ledger.where("NOT readable").select("path").limit(MOST_UNREADABLE + 1).collect()]
+    if len(paths) > MOST_UNREADABLE:
+        raise ValueError(f"more than {MOST_UNREADABLE} files cannot be read")
+    return sorted(paths)
+
+
 def _is_corrupt(rows: DataFrame) -> Column:
     """Is the row a line that is not JSON?
 

@@ -122,3 +122,46 @@ def test_project_fields(spark):
     rows = spark.sql("SELECT 1 AS _seq, 'a' AS ad_id, 'x' AS unknown, parse_json('1') AS purchase_roas")
     assert landing.project_fields(rows).columns == ["_seq", "ad_id", "purchase_roas"]
     assert landing.project_fields(rows, ["unknown"]).columns == ["_seq", "unknown"]
+
+
+def test_unreadable_files_are_left_out_named_and_counted(spark, folder, tmp_path):
+    """A cut gzip and a broken Parquet file among good ones; a second run reads no file again."""
+    import gzip
+    import json
+    import os
+
+    from adledger.plans.sync import SyncConfig, sync_landing, update_ledger
+
+    def lines(account, n):
+        return "\n".join(
+            json.dumps({"account_id": account, "ad_id": str(i), "date_start": "2024-01-05", "date_stop": "2024-01-05"}) for i in range(n)
+        ).encode()
+
+    os.makedirs(tmp_path / "json")
+    (tmp_path / "json" / "a.json.gz").write_bytes(gzip.compress(lines("900", 50)) + gzip.compress(b"\n" + lines("901", 7)))
+    (tmp_path / "json" / "b.json.gz").write_bytes(gzip.compress(lines("902", 5000))[:-40])
+    (tmp_path / "json" / "c.json").write_bytes(lines("903", 3))
+    config = SyncConfig(root=folder, accounts=["900", "901", "902", "903"], validate=True, update_kpis=False, run_log_path=f"{folder}/runs")
+    ledger = f"{folder}/ledger"
+    for total in (60, 65):
+        report = sync_landing(spark, config, str(tmp_path / "json"), "2024-01-01", "2024-01-31", ledger_path=ledger)
+        step = report["steps"]["fetch_insights"]
+        assert (step["total_records"], step["files_listed"]) == (total, 3 if total == 60 else 4)
+        assert [os.path.basename(f) for f in step["files_skipped"]] == ["b.json.gz"]
+        (tmp_path / "json" / "d.json.gz").write_bytes(gzip.compress(lines("903", 8)))
+    logged = spark.read.parquet(f"{folder}/runs").where("size(files_skipped) = 1")
+    assert logged.count() == 2
+
+    good = f"{tmp_path}/parquet"
+    spark.range(100).selectExpr("'900' AS account_id", "string(id) AS ad_id", "'2024-01-05' AS date_start").repartition(2).write.parquet(good)
+    names = sorted(n for n in os.listdir(good) if n.endswith(".parquet"))
+    whole = (tmp_path / "parquet" / names[0]).read_bytes()
+    (tmp_path / "parquet" / "broken-1.parquet").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "parquet" / "broken-2.parquet").write_bytes(whole[:10] + bytes(40) + whole[50:])
+    found = update_ledger(spark, good, f"{folder}/ledger-parquet")
+    bad = landing.unreadable(found)
+    assert [os.path.basename(f) for f in bad] == ["broken-1.parquet", "broken-2.parquet"]
+    schema = "account_id string, ad_id string, date_start string"
+    schema = spark.createDataFrame([], schema).schema
+    rows = landing.read_landing(spark, good, "parquet", schema=schema, skip_files=bad)
+    assert rows.count() == 100
