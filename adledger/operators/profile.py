@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adledger.functions.variants import exact_items_of, lacks_keys, type_name, type_prefix
 
@@ -42,7 +42,7 @@ def field_types(raw: DataFrame, json: str = "record") -> DataFrame:
 def types_per_field(found: DataFrame) -> DataFrame:
     """``field, types`` as sorted lists, from the result of ``field_types``."""
     return (
-        found.filter("kind <> 'nested'")
+        found.filter("kind NOT IN ('nested', 'records')")
         .groupBy("field")
         .agg(F.array_sort(F.collect_set("type")).alias("types"))
     )
@@ -58,3 +58,79 @@ def record_summary(raw: DataFrame, json: str = "record", order: str = "_seq") ->
         F.count(F.lit(1)).alias("total_records"),
         F.json_object_keys(F.min_by(json, order)).alias("sample_record_keys"),
     )
+
+
+# -- mergeable profile -------------------------------------------------------------
+
+STATE = "field string, kind string, type string, n_records long, first struct<place: string, keys: array<string>>"
+
+
+def load_state(raw: DataFrame, json: str = "record", order: str = "_seq", load: int = 0) -> DataFrame:
+    """The profile of one load as a small frame of ``STATE`` rows, in one pass over its records.
+
+    A row for every ``(field, kind, type)`` of ``field_types`` with the number of records that
+    show it, and a row of kind ``records`` with the number of all records and the keys of the
+    first one. ``order`` is a whole number of at least 0, and ``load`` goes before it. A text that
+    is not JSON counts as a record without fields. An empty load has no rows.
+    """
+    values = F.try_variant_get(F.try_parse_json(F.col(json)), "$", "map<string,variant>")
+    place = F.concat(F.lpad(F.lit(str(load)), 10, "0"), F.lit("."), F.lpad(F.col(order).cast("string"), 20, "0"))
+    entries = F.transform(F.map_entries(values), lambda e: F.struct(e["key"].alias("field"), e["value"].alias("value")))
+    whole = F.struct(F.lit(None).cast("string").alias("field"), F.lit(None).cast("variant").alias("value"))
+    rows = raw.select(
+        F.struct(place.alias("place"), F.json_object_keys(json).alias("keys")).alias("first"),
+        F.inline(F.concat(F.array(whole), F.coalesce(entries, F.array().cast("array<struct<field:string,value:variant>>")))),
+    ).withColumn("items", F.expr(exact_items_of("value")))
+    nested = F.coalesce(F.get("items", F.lit(0)).isNotNull(), F.lit(False))
+
+    def entry(kind, prefix):
+        return F.struct(F.lit(kind).alias("kind"), prefix.alias("prefix"))
+
+    complete = F.expr(f"filter(items, x -> NOT {lacks_keys('x')})")
+    inside = F.array_distinct(F.transform(complete, lambda x: entry("values", type_prefix(x["value"]))))
+    shown = (
+        F.when(F.col("field").isNull(), F.array(entry("records", F.lit(""))))
+        .when(nested, F.concat(F.array(entry("nested", F.lit("ARRA"))), inside))
+        .otherwise(F.array(entry("plain", type_prefix(F.col("value")))))
+    )
+    first = F.when(F.col("field").isNull(), F.col("first")).alias("first")
+    found = rows.select("field", first, F.inline(shown))
+    is_values, is_whole = F.col("kind") == "values", F.col("kind") == "records"
+    return merge_states(
+        found.select(
+            F.when(is_values, F.concat("field", F.lit("_values"))).otherwise(F.col("field")).alias("field"),
+            "kind",
+            F.when(~is_whole, type_name(F.col("prefix"))).alias("type"),
+            F.lit(1).cast("long").alias("n_records"),
+            "first",
+        )
+    )
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state out of the rows of many; the order and grouping of merges do not matter."""
+    return states.groupBy("field", "kind", "type").agg(
+        F.sum("n_records").alias("n_records"), F.min("first").alias("first")
+    )
+
+
+def store_state(raw: DataFrame, path: str, load: int, json: str = "record", order: str = "_seq") -> None:
+    """Write a load's state below ``path``; the same load written again replaces its own state."""
+    load_state(raw, json, order, load).coalesce(1).write.mode("overwrite").parquet(f"{path}/load={load}")
+
+
+def stored_profile(spark: SparkSession, path: str) -> DataFrame:
+    """The profile of all loads stored below ``path``, without a look at their records.
+
+    ``types_per_field`` and ``nested_fields`` take it like the result of ``field_types``.
+    """
+    return merge_states(spark.read.schema(STATE).parquet(path).drop("load"))
+
+
+def summary_of(state: DataFrame) -> DataFrame:
+    """``record_summary`` from a state."""
+    whole = state.filter("kind = 'records'")
+    return whole.agg(
+        F.coalesce(F.sum("n_records"), F.lit(0)).alias("total_records"),
+        F.min("first")["keys"].alias("sample_record_keys"),
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from adledger import registry
 from adledger.functions import text
 from adledger.functions.text import day_text, with_account_prefix, without_account_prefix
-from adledger.operators import dedup, kpi, profile, upsert, validate, versions
+from adledger.operators import bucketed, dedup, kpi, profile, upsert, validate, versions
 from adledger.plans import fixtures as fx, stream
 from adledger.plans import sync as jobs
 from adledger.sources import conversions, landing, windows
@@ -379,6 +379,17 @@ def profile_summary(spark, sf_dir):
     )
 
 
+@query
+def profile_merged(spark, sf_dir):
+    """The states of two loads, stored one after the other, make the profile of all records."""
+    path = run_folder(spark, "profile")
+    records = fx.raw_records(spark, sf_dir, "load_no")
+    for load in (1, 2):
+        profile.store_state(records.filter(F.col("load_no") == load), path, load)
+    keys = F.array_join(F.col("first.keys"), ",").alias("sample_record_keys")
+    return profile.stored_profile(spark, path).select("field", "kind", "type", "n_records", keys)
+
+
 # -- table writes ------------------------------------------------------------------
 
 
@@ -401,6 +412,14 @@ def upsert_conflict(spark, sf_dir):
     return _flat(versions.read(spark, path))
 
 
+@query
+def upsert_bucketed(spark, sf_dir):
+    path = run_folder(spark, "bucketed")
+    for load in (1, 2):
+        bucketed.upsert(fx.valid_load(spark, sf_dir, load), path, n_buckets=8)
+    return _flat(bucketed.read(spark, path))
+
+
 @query
 def upsert_empty(spark, sf_dir):
     path = _loaded(spark, sf_dir, "upsert")

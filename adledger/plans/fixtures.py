@@ -119,11 +119,11 @@ def landing_schema() -> T.StructType:
     )
 
 
-def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole records as JSON text, nulls written out."""
+def raw_records(spark: SparkSession, sf_dir: str, *beside: str) -> DataFrame:
+    """Whole records as JSON text, nulls written out; columns ``beside`` them stay columns."""
     record = F.struct(F.col("_seq").alias("seq"), *RAW_FIELDS, "actions")
     return ads_raw(spark, sf_dir).select(
-        "_seq", F.to_json(record, {"ignoreNullFields": "false"}).alias("record")
+        "_seq", *beside, F.to_json(record, {"ignoreNullFields": "false"}).alias("record")
     )
 
 

@@ -305,10 +305,22 @@ ORACLES: dict[str, str] = {
         f"ELSE 'other' END AS type FROM {_ITEMS} WHERE json_type(item, '$.action_type') IS NOT NULL "
         "AND json_type(item, '$.value') IS NOT NULL) HAVING count(*) > 0"
     ),
+    "profile_merged": _ads(
+        f", found AS ({_PLAIN_TYPES}), vals AS (SELECT seq, CASE json_type(item, '$.value') WHEN 'NULL' THEN 'NoneType' "
+        f"WHEN 'VARCHAR' THEN 'str' ELSE 'other' END AS type FROM {_ITEMS} WHERE json_type(item, '$.action_type') IS NOT NULL "
+        "AND json_type(item, '$.value') IS NOT NULL AND json_type(items[1]) = 'OBJECT') "
+        "SELECT field, 'plain' AS kind, type, count(*) AS n_records, NULL AS sample_record_keys FROM found GROUP BY field, type "
+        "UNION ALL SELECT 'actions', 'nested', 'list', count(*), NULL FROM parsed WHERE len(items) > 0 "
+        "AND json_type(items[1]) = 'OBJECT' HAVING count(*) > 0 "
+        "UNION ALL SELECT 'actions_values', 'values', type, count(DISTINCT seq), NULL FROM vals GROUP BY type "
+        "UNION ALL SELECT NULL, 'records', NULL, count(*), 'seq,account_id,ad_id,date_start,date_stop,impressions,clicks,"
+        "spend,actions' FROM ads HAVING count(*) > 0"
+    ),
     "profile_summary": "SELECT count(*) AS total_records, 'seq,account_id,ad_id,date_start,date_stop,"
     "impressions,clicks,spend,actions' AS sample_record_keys FROM events",
     "upsert_merge": _upserted("SELECT * FROM load2"),
     "upsert_conflict": _upserted("SELECT * FROM load2"),
+    "upsert_bucketed": _upserted("SELECT * FROM load2"),
     "stream_sync": _upserted("SELECT * FROM load2"),
     "upsert_empty": _ads(f"SELECT {_FLAT}, 'no_records' AS status FROM load1"),
     "merge_counts": _ads(
