@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from adledger import registry
 from adledger.functions import text
 from adledger.functions.text import day_text, with_account_prefix, without_account_prefix
-from adledger.operators import bucketed, dedup, kpi, profile, upsert, validate, versions
+from adledger.operators import bucketed, dedup, drift, kpi, profile, upsert, validate, versions
 from adledger.plans import fixtures as fx, stream
 from adledger.plans import sync as jobs
 from adledger.sources import conversions, landing, windows
@@ -479,6 +479,23 @@ def ensure_table(spark, sf_dir):
     return upsert.read_table(spark, path).groupBy(day).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query
+def schema_drift(spark, sf_dir):
+    """Files of two ages: the first load has narrower counts, no spend, and a column of its own."""
+    path = run_folder(spark, "drift")
+    old = fx.valid_load(spark, sf_dir, 1).drop("spend").withColumns(
+        {
+            "impressions": F.col("impressions").cast("int"),
+            "clicks": F.col("clicks").cast("int"),
+            "actions": F.expr("transform(actions, a -> named_struct('value', int(a.value), 'action_type', a.action_type))"),
+            "note": F.lit("of an earlier schema"),
+        }
+    )
+    upsert.append_rows(old, path)
+    upsert.append_rows(fx.valid_load(spark, sf_dir, 2), path)
+    return _flat(drift.read_any_age(spark, path))
+
+
 @query
 def clone_schema(spark, sf_dir):
     source = upsert.read_table(spark, _loaded(spark, sf_dir, "clone-source"))

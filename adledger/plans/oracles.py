@@ -343,6 +343,9 @@ ORACLES: dict[str, str] = {
     "ensure_table": _ads(
         "SELECT date_start, count(*) AS n_rows FROM latest WHERE ok GROUP BY date_start"
     ),
+    "schema_drift": _ads(
+        f"SELECT * REPLACE (CAST(NULL AS DOUBLE) AS spend) FROM (SELECT {_FLAT} FROM load1) UNION ALL SELECT {_FLAT} FROM load2"
+    ),
     "clone_schema": _ads(
         ", columns AS (SELECT * FROM (VALUES "
         + ", ".join(f"('{n}', '{t}')" for n, t in _FIELD_TYPES.items())
