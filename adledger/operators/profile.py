@@ -7,14 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from adledger.functions.variants import exact_items_of, lacks_keys, type_name, type_prefix
 
 
-def field_types(raw: DataFrame, json: str = "record") -> DataFrame:
-    """Distinct ``(field, kind, type)`` over all records of a JSON text column.
-
-    ``kind`` is ``plain``; ``nested`` for a non-empty list that starts with an object; or
-    ``values`` for the values inside such a list, under ``<field>_values``. Values are
-    reduced to their type before anything is shuffled, so a task sends at most one row per
-    field and type.
-    """
+def _shown(raw: DataFrame, json: str) -> DataFrame:
+    """``field, kind, prefix`` of every record: each type that a field of it shows, once."""
     values = raw.select(
         F.explode(
             F.try_variant_get(F.try_parse_json(F.col(json)), "$", "map<string,variant>")
@@ -30,15 +24,30 @@ def field_types(raw: DataFrame, json: str = "record") -> DataFrame:
     entries = F.when(
         nested, F.concat(F.array(entry("nested", F.lit("ARRA"))), F.array_distinct(inside))
     ).otherwise(F.array(entry("plain", type_prefix(F.col("value")))))
-    found = values.select("field", F.inline(entries)).distinct()
+    return values.select("field", F.inline(entries))
+
+
+def _named(shown: DataFrame, *beside: str) -> DataFrame:
     field = F.when(F.col("kind") == "values", F.concat("field", F.lit("_values")))
-    return found.select(
+    return shown.select(
         F.coalesce(field, "field").alias("field"),
         "kind",
         type_name(F.col("prefix")).alias("type"),
+        *beside,
     )
 
 
+def field_types(raw: DataFrame, json: str = "record") -> DataFrame:
+    """Distinct ``(field, kind, type)`` over all records of a JSON text column.
+
+    ``kind`` is ``plain``; ``nested`` for a non-empty list that starts with an object; or
+    ``values`` for the values inside such a list, under ``<field>_values``. Values are
+    reduced to their type before anything is shuffled, so a task sends at most one row per
+    field and type.
+    """
+    return _named(_shown(raw, json).distinct())
+
+
 def types_per_field(found: DataFrame) -> DataFrame:
     """``field, types`` as sorted lists, from the result of ``field_types``."""
     return (
@@ -66,45 +75,25 @@ STATE = "field string, kind string, type string, n_records long, first struct<pl
 
 
 def load_state(raw: DataFrame, json: str = "record", order: str = "_seq", load: int = 0) -> DataFrame:
-    """The profile of one load as a small frame of ``STATE`` rows, in one pass over its records.
+    """The profile of one load as a small frame of ``STATE`` rows.
 
     A row for every ``(field, kind, type)`` of ``field_types`` with the number of records that
     show it, and a row of kind ``records`` with the number of all records and the keys of the
     first one. ``order`` is a whole number of at least 0, and ``load`` goes before it. A text that
     is not JSON counts as a record without fields. An empty load has no rows.
-    """
-    values = F.try_variant_get(F.try_parse_json(F.col(json)), "$", "map<string,variant>")
-    place = F.concat(F.lpad(F.lit(str(load)), 10, "0"), F.lit("."), F.lpad(F.col(order).cast("string"), 20, "0"))
-    entries = F.transform(F.map_entries(values), lambda e: F.struct(e["key"].alias("field"), e["value"].alias("value")))
-    whole = F.struct(F.lit(None).cast("string").alias("field"), F.lit(None).cast("variant").alias("value"))
-    rows = raw.select(
-        F.struct(place.alias("place"), F.json_object_keys(json).alias("keys")).alias("first"),
-        F.inline(F.concat(F.array(whole), F.coalesce(entries, F.array().cast("array<struct<field:string,value:variant>>")))),
-    ).withColumn("items", F.expr(exact_items_of("value")))
-    nested = F.coalesce(F.get("items", F.lit(0)).isNotNull(), F.lit(False))
-
-    def entry(kind, prefix):
-        return F.struct(F.lit(kind).alias("kind"), prefix.alias("prefix"))
 
-    complete = F.expr(f"filter(items, x -> NOT {lacks_keys('x')})")
-    inside = F.array_distinct(F.transform(complete, lambda x: entry("values", type_prefix(x["value"]))))
-    shown = (
-        F.when(F.col("field").isNull(), F.array(entry("records", F.lit(""))))
-        .when(nested, F.concat(F.array(entry("nested", F.lit("ARRA"))), inside))
-        .otherwise(F.array(entry("plain", type_prefix(F.col("value")))))
-    )
-    first = F.when(F.col("field").isNull(), F.col("first")).alias("first")
-    found = rows.select("field", first, F.inline(shown))
-    is_values, is_whole = F.col("kind") == "values", F.col("kind") == "records"
-    return merge_states(
-        found.select(
-            F.when(is_values, F.concat("field", F.lit("_values"))).otherwise(F.col("field")).alias("field"),
-            "kind",
-            F.when(~is_whole, type_name(F.col("prefix"))).alias("type"),
-            F.lit(1).cast("long").alias("n_records"),
-            "first",
-        )
+    Types are counted by hash before the shuffle. The first record is found on its own, as a text
+    among the aggregates would have Spark sort all values; that pass parses nothing.
+    """
+    types = _named(_shown(raw, json).groupBy("field", "kind", "prefix").agg(F.count(F.lit(1)).alias("n_records")), "n_records")
+    place = F.concat(F.lpad(F.lit(str(load)), 10, "0"), F.lit("."), F.lpad(F.min(order).cast("string"), 20, "0"))
+    whole = raw.agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.struct(place.alias("place"), F.json_object_keys(F.min_by(json, order)).alias("keys")).alias("first"),
     )
+    whole = whole.where("n_records > 0").withColumn("kind", F.lit("records"))
+    # Two types of Spark may have one name.
+    return merge_states(types.unionByName(whole, allowMissingColumns=True))
 
 
 def merge_states(states: DataFrame) -> DataFrame:
