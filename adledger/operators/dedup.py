@@ -50,8 +50,11 @@ def keep_latest(
     if alone is not None:
         # Rows for which this holds have no key of their own; each is kept.
         same.append(F.when(alone, F.col(order)))
-    window = Window.partitionBy(*same).orderBy(version.desc_nulls_last(), F.col(order).asc())
-    return rows.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    # Columns, as Spark would work out an expression again in every exchange, comparison and window.
+    columns = [f"_same_{i}" for i in range(len(same))]
+    window = Window.partitionBy(*columns).orderBy(version.desc_nulls_last(), F.col(order).asc())
+    ranked = rows.withColumns(dict(zip(columns, same))).withColumn("_rank", F.row_number().over(window))
+    return ranked.filter("_rank = 1").drop("_rank", *columns)
 
 
 def dedup_stats(rows: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

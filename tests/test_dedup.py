@@ -74,3 +74,12 @@ def test_a_task_sends_one_row_per_key(spark):
     assert tree.count("WindowGroupLimit") == 2 and tree.count("Exchange") == 1
     assert tree.rindex("WindowGroupLimit") > tree.index("Exchange")
     assert [r["_seq"] for r in out.collect()] == [0]
+
+
+def test_the_day_is_read_once_per_row(rows_of):
+    """Not again in every exchange, comparison and window."""
+    from conftest import plan_of
+
+    plan = plan_of(keep_latest(rows_of([{"ad_id": "1", "date_start": "2024-01-01", "account_id": "9"}])))
+    details = [part for part in plan.split("\n\n") if part.startswith("(") and "RLIKE" in part.upper()]
+    assert len(details) == 1, details
